@@ -1,0 +1,67 @@
+"""Compare every registered query with its SQL: ``python tests/check_oracles.py [folder] [name ...]``."""
+
+from __future__ import annotations
+
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+import __spark_entry__ as contract
+from corvane.session import local_session
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def plain(value):
+    return tuple(value) if isinstance(value, list) else value
+
+
+def sorted_rows(rows):
+    return sorted((tuple(plain(v) for v in row) for row in rows), key=repr)
+
+
+def compare(spark, database, name: str, folder: str) -> str:
+    """Empty if equal, else what differs."""
+    result = contract.queries()[name](spark, folder)
+    columns = sorted(result.columns)
+    ours = sorted_rows(result.select(columns).collect())
+    answer = database.sql(contract.oracle_sql()[name])
+    if sorted(answer.columns) != columns:
+        return f"columns {columns} / {sorted(answer.columns)}"
+    theirs = sorted_rows(answer.select(*columns).fetchall())
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows / {len(theirs)}"
+    different = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    return f"{len(different)} of {len(ours)} rows differ, first {different[0]}" if different else ""
+
+
+def connect(folder: str):
+    database = duckdb.connect()
+    for name in TABLES:
+        database.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return database
+
+
+def main() -> None:
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    spark = local_session("oracles", "8")
+    spark.sparkContext.setLogLevel("ERROR")
+    database = connect(folder)
+    failed = 0
+    for name in sys.argv[2:] or contract.queries():
+        start = time.time()
+        problem = compare(spark, database, name, folder)
+        failed += bool(problem)
+        print(f"{name:32s} {time.time() - start:6.2f}s  {problem[:600] or 'equal'}", flush=True)
+    sys.exit(failed)
+
+
+if __name__ == "__main__":
+    main()
