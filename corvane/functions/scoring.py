@@ -17,6 +17,5 @@ def inverse_document_frequency(n: Column, df: Column) -> Column:
 
 
 def damped(contribution: Column, redistributed: Column) -> Column:
-    """A node's new rank; a node nobody links to has no contribution row."""
-    received = F.coalesce(contribution, F.lit(0.0)) + redistributed
-    return F.lit(BASE_RANK) + F.lit(DAMPING) * received
+    """A node's new rank."""
+    return F.lit(BASE_RANK) + F.lit(DAMPING) * (contribution + redistributed)

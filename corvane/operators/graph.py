@@ -15,6 +15,8 @@ from corvane.operators.lookup import attach
 # Entries in one stored list. A longer list becomes several rows of the same node.
 MAX_LIST = 10_000
 
+NODE_COUNTS = ("out_degree", "out_links", "in_degree", "in_links")
+
 
 def link_counts(arcs: DataFrame, unique: bool = False) -> DataFrame:
     """``(src, dst, copies)``: each different arc once, copies combined before the shuffle.
@@ -39,32 +41,12 @@ def node_table(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     with the ids of the mapping, so a node that is only linked to, only linking,
     or only listed gets its row without a join.
     """
-    zero = F.lit(0).cast("bigint")
-    one = F.lit(1).cast("bigint")
-
-    def end(node, out_degree, out_links, in_degree, in_links):
-        return F.struct(
-            node.alias("id"),
-            out_degree.alias("out_degree"),
-            out_links.alias("out_links"),
-            in_degree.alias("in_degree"),
-            in_links.alias("in_links"),
-        )
-
-    copies = F.col("copies")
-    ends = links.select(
-        F.inline(
-            F.array(
-                end(F.col("src"), copies, one, zero, zero),
-                end(F.col("dst"), zero, zero, copies, one),
-            )
-        )
-    )
+    columns = ", ".join(("id", *NODE_COUNTS))
+    ends = links.selectExpr(f"stack(2, src, copies, 1L, 0L, 0L, dst, 0L, 0L, copies, 1L) as ({columns})")
     if nodes is not None:
-        listed = nodes.select(end(F.col("id"), zero, zero, zero, zero).alias("node")).select("node.*")
+        listed = nodes.where("id is not null").selectExpr("id", *(f"0L as {c}" for c in NODE_COUNTS))
         ends = ends.unionByName(listed)
-    sums = [F.sum(c).alias(c) for c in ("out_degree", "out_links", "in_degree", "in_links")]
-    return ends.where("id is not null").groupBy("id").agg(*sums)
+    return ends.groupBy("id").agg(*(F.expr(f"sum({c}) as {c}") for c in NODE_COUNTS))
 
 
 def degrees(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
@@ -84,32 +66,32 @@ def _lists(links: DataFrame, own: str, other: str, size: str, name: str, max_lis
     several parts by hash; copies of one arc beyond the limit are cut up first, so
     not even these must share a part.
     """
-    parts = F.ceil(F.col(size) / F.lit(max_list))
-    last_piece = F.floor((F.col("copies") - 1) / F.lit(max_list))
-    pieces = links.select(
-        own, other, size, "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), last_piece)).alias("piece")
+    pieces = links.selectExpr(
+        f"{own} as id",
+        f"{other} as entry",
+        f"ceil({size} / {max_list}) as parts",
+        "copies",
+        f"explode(sequence(0L, (copies - 1) div {max_list})) as piece",
     )
-    held = F.least(F.lit(max_list), F.col("copies") - F.col("piece") * max_list).cast("int")
-    dealt = pieces.select(
-        F.col(own).alias("id"),
-        F.pmod(F.xxhash64(other, "piece"), parts).cast("int").alias("part"),
-        F.array_repeat(other, held).alias("entries"),
+    dealt = pieces.selectExpr(
+        "id",
+        "cast(pmod(xxhash64(entry, piece), parts) as int) as part",
+        f"array_repeat(entry, cast(least({max_list}, copies - piece * {max_list}) as int)) as entries",
     )
-    grouped = dealt.groupBy("id", "part").agg(F.collect_list("entries").alias("entries"))
-    return grouped.select("id", "part", F.sort_array(F.flatten("entries")).alias(name))
+    grouped = dealt.groupBy("id", "part").agg(F.expr("collect_list(entries) as entries"))
+    return grouped.selectExpr("id", "part", f"sort_array(flatten(entries)) as {name}")
 
 
 def adjacency(links: DataFrame, max_list: int = MAX_LIST, **hot) -> DataFrame:
     """``(id, part, neighbors)`` for every node with outgoing arcs."""
-    sizes = node_table(links).where("out_links > 0").select(F.col("id").alias("src"), "out_degree", "out_links")
+    sizes = node_table(links).where("out_links > 0").selectExpr("id as src", "out_degree", "out_links")
     sized = attach(links, sizes, "src", "out_links", **hot)
     return _lists(sized, "src", "dst", "out_degree", "neighbors", max_list)
 
 
 def _incoming(links: DataFrame, **hot) -> DataFrame:
-    sizes = node_table(links).where("in_links > 0").select(
-        F.col("id").alias("dst"), "out_degree", "in_degree", "in_links"
-    )
+    sizes = node_table(links).where("in_links > 0")
+    sizes = sizes.selectExpr("id as dst", "out_degree", "in_degree", "in_links")
     return attach(links, sizes, "dst", "in_links", **hot)
 
 
@@ -128,8 +110,8 @@ def adjacency_with_dangling(
     links: DataFrame, nodes: DataFrame | None = None, max_list: int = MAX_LIST, **hot
 ) -> DataFrame:
     """``adjacency`` and, with null for their list, the dangling nodes."""
-    dangling = dangling_nodes(links, nodes).select(
-        "id", F.lit(0).alias("part"), F.lit(None).cast("array<string>").alias("neighbors")
+    dangling = dangling_nodes(links, nodes).selectExpr(
+        "id", "0 as part", "cast(null as array<string>) as neighbors"
     )
     return adjacency(links, max_list, **hot).unionByName(dangling)
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from corvane.functions.scoring import FIRST_RANK, damped
 from corvane.operators.graph import link_counts, node_table
 from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
-from corvane.session import prepare_checkpoints, shuffle_partitions
+from corvane.session import planned_ahead, prepare_checkpoints, shuffle_partitions
 
+MASS = "coalesce(sum(case when out_degree = 0 then rank end), 0D)"
 STATE = ("id", "out_degree", "out_links", "rank")
 
 
@@ -31,38 +32,44 @@ def initial_ranks(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame
 
 def _shares(state: DataFrame) -> DataFrame:
     """What each node with outgoing arcs sends along one arc."""
-    share = (F.col("rank") / F.col("out_degree")).alias("share")
-    return state.where("out_degree > 0").select(F.col("id").alias("src"), "out_links", share)
+    return state.where("out_degree > 0").selectExpr("id as src", "out_links", "rank / out_degree as share")
 
 
-def _collected(sent: DataFrame) -> DataFrame:
+def _sent(links_with_shares: DataFrame) -> DataFrame:
+    """``(id, contribution)``, one row per different arc."""
+    return links_with_shares.selectExpr("dst as id", "share * copies as contribution")
+
+
+def _received(sent: DataFrame) -> DataFrame:
     """Sums per receiver; much linked nodes are summed up before the shuffle."""
-    return sent.groupBy("dst").agg(F.sum(F.col("share") * F.col("copies")).alias("contribution"))
+    return sent.groupBy("id").agg(F.sum("contribution").alias("contribution"))
 
 
 def contributions(links: DataFrame, state: DataFrame, **hot) -> DataFrame:
     """``(id, contribution)`` for the nodes that receive anything over arcs."""
-    sent = attach(links, _shares(state), "src", "out_links", **hot)
-    return _collected(sent).withColumnRenamed("dst", "id")
+    return _received(_sent(attach(links, _shares(state), "src", "out_links", **hot)))
 
 
 def dangling_mass(state: DataFrame) -> DataFrame:
     """``mass``, the rank held by nodes without outgoing arcs."""
-    held = F.sum(F.when(F.col("out_degree") == 0, F.col("rank")))
-    return state.agg(F.coalesce(held, F.lit(0.0)).alias("mass"))
+    return state.selectExpr(f"{MASS} as mass")
+
+
+def _redistributed(state: DataFrame) -> Column:
+    """What every node gets of the dangling nodes' rank."""
+    return state.selectExpr(f"{MASS} / count(*) as per_node").scalar()
 
 
-def _updated(state: DataFrame, received: DataFrame, redistributed: Column) -> DataFrame:
-    """``state`` with new ranks; a left join, as every node keeps a rank."""
-    rank = damped(F.col("contribution"), redistributed).alias("rank")
+def _updated(state: DataFrame, received: DataFrame) -> DataFrame:
+    """``state`` with new ranks; a left join, since every node keeps its rank."""
+    contribution = F.coalesce("contribution", F.lit(0.0))
+    rank = damped(contribution, _redistributed(state)).alias("rank")
     return state.join(received, "id", "left").select("id", "out_degree", "out_links", rank)
 
 
 def pagerank_step(links: DataFrame, state: DataFrame, **hot) -> DataFrame:
     """``state`` after one more iteration, as one lazy plan."""
-    held = F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0))
-    per_node = state.agg(held / F.count("*")).scalar()
-    return _updated(state, contributions(links, state, **hot), per_node)
+    return _updated(state, contributions(links, state, **hot))
 
 
 def pagerank(
@@ -75,29 +82,30 @@ def pagerank(
 ) -> DataFrame:
     """``(id, rank)`` after a fixed number of iterations.
 
-    The arcs are laid out once: by source and sorted, kept across the iterations.
-    Per iteration one row per node moves to its arcs, and the contributions,
-    summed up within each task, move to their receivers. The few sources with
-    very many arcs stay out of that layout; their arcs lie evenly over the
-    partitions and get the shares by broadcast. Each new state is checkpointed,
-    which ends its lineage and keeps it through the loss of executors.
+    Arcs are laid out once, partitioned and sorted by source, and kept; the nodes'
+    state has the same layout and keeps it from iteration to iteration. Arcs and
+    state then meet in place, and per iteration only the contributions move,
+    summed up within each task before. The few sources with very many arcs stay
+    out of that layout: their arcs lie evenly over the partitions and get the
+    shares by broadcast. Each new state is checkpointed, which ends its lineage
+    and keeps it through the loss of executors.
     """
     spark = arcs.sparkSession
     prepare_checkpoints(spark)
     partitions = shuffle_partitions(spark)
 
-    kept = [link_counts(arcs, unique_arcs).persist()]
-    links = kept[0]
+    links = link_counts(arcs, unique_arcs).persist()
+    kept = [links]
     try:
         state = initial_state(links, nodes).checkpoint()
-        totals = state.agg(F.count("*").alias("nodes"), F.sum("out_links").alias("links")).first()
-        limit = max((totals["links"] or 0) / max_hot, float(min_hot_rows))
+        all_links = state.selectExpr("coalesce(sum(out_links), 0L)").first()[0]
+        limit = max(all_links / max_hot, float(min_hot_rows))
         is_hub = F.col("out_links") > limit
         has_hubs = not state.where(is_hub).isEmpty()
 
         plain_links = links
         if has_hubs:
-            hubs = F.broadcast(state.where(is_hub).select(F.col("id").alias("src")))
+            hubs = F.broadcast(state.where(is_hub).selectExpr("id as src"))
             plain_links = links.join(hubs, "src", "left_anti")
             hub_links = links.join(hubs, "src", "left_semi").repartition(partitions, "src", "dst").persist()
             kept.append(hub_links)
@@ -107,16 +115,14 @@ def pagerank(
             frame.count()  # only a filled cache tells the planner its layout
         links.unpersist()
 
-        for _ in range(iterations):
-            shares = _shares(state)
-            sent = laid_out.hint("merge").join(shares, "src").select("dst", "copies", "share")
-            if has_hubs:
-                hub_shares = F.broadcast(shares.where(is_hub))
-                by_hubs = hub_links.join(hub_shares, "src").select("dst", "copies", "share")
-                sent = sent.unionByName(by_hubs)
-            received = _collected(sent).withColumnRenamed("dst", "id")
-            per_node = dangling_mass(state).select(F.col("mass") / F.lit(totals["nodes"])).scalar()
-            state = _updated(state, received.hint("merge"), per_node).checkpoint()
+        with planned_ahead(spark):
+            for _ in range(iterations):
+                shares = _shares(state)
+                sent = _sent(laid_out.join(shares.hint("merge"), "src"))
+                if has_hubs:
+                    by_hubs = hub_links.join(F.broadcast(shares.where(is_hub)), "src")
+                    sent = sent.unionByName(_sent(by_hubs))
+                state = _updated(state, _received(sent).hint("merge")).checkpoint()
     finally:
         for frame in kept:
             frame.unpersist()

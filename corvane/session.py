@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -57,3 +59,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@contextmanager
+def planned_ahead(spark: SparkSession) -> Iterator[None]:
+    """Without adaptive execution, for loops over data that is laid out on purpose.
+
+    A result planned adaptively does not say how it is partitioned, so what is
+    checkpointed from it would be shuffled again by its next reader.
+    """
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)

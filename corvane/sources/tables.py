@@ -45,35 +45,28 @@ def page_links(spark: SparkSession, folder: str) -> DataFrame:
 def trade_arcs(spark: SparkSession, folder: str) -> DataFrame:
     """Customers link to the parts they order, parts to their suppliers, and
     suppliers of even key to the customers they serve."""
-    items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    items = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    sold = items.join(orders, items.l_orderkey == orders.o_orderkey).select(
-        F.concat(F.lit("c"), "o_custkey").alias("customer"),
-        F.concat(F.lit("p"), "l_partkey").alias("part"),
-        F.concat(F.lit("s"), "l_suppkey").alias("supplier"),
-        (F.col("l_suppkey") % 2 == 0).alias("serves"),
+    sold = items.join(orders, items.l_orderkey == orders.o_orderkey).selectExpr(
+        "concat('c', o_custkey) as customer",
+        "concat('p', l_partkey) as part",
+        "concat('s', l_suppkey) as supplier",
+        "l_suppkey % 2 = 0 as serves",
     )
-    bought = F.struct(F.col("customer").alias("src"), F.col("part").alias("dst"))
-    served = F.struct(F.col("supplier").alias("src"), F.col("customer").alias("dst"))
-    between = sold.select(F.inline(F.when(F.col("serves"), F.array(bought, served)).otherwise(F.array(bought))))
-    supplied = items.select(
-        F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst")
-    )
-    return between.unionByName(supplied)
+    bought_and_served = sold.selectExpr(
+        "stack(2, customer, part, supplier, if(serves, customer, null)) as (src, dst)"
+    ).where("dst is not null")
+    supplied = items.selectExpr("concat('p', l_partkey) as src", "concat('s', l_suppkey) as dst")
+    return bought_and_served.unionByName(supplied)
 
 
 def trade_nodes(spark: SparkSession, folder: str) -> DataFrame:
     """``(id, title)``; part names repeat, so a part's title shows its key as well."""
-    customers = table(spark, folder, "customer").select(
-        F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_name").alias("title")
-    )
-    parts = table(spark, folder, "part").select(
-        F.concat(F.lit("p"), "p_partkey").alias("id"),
-        F.concat("p_name", F.lit(" #"), "p_partkey").alias("title"),
-    )
-    suppliers = table(spark, folder, "supplier").select(
-        F.concat(F.lit("s"), "s_suppkey").alias("id"), F.col("s_name").alias("title")
+    customers = table(spark, folder, "customer").selectExpr("concat('c', c_custkey) as id", "c_name as title")
+    parts = table(spark, folder, "part").selectExpr(
+        "concat('p', p_partkey) as id", "concat(p_name, ' #', p_partkey) as title"
     )
+    suppliers = table(spark, folder, "supplier").selectExpr("concat('s', s_suppkey) as id", "s_name as title")
     return customers.unionByName(parts).unionByName(suppliers)
 
 
