@@ -35,6 +35,9 @@ def attach(
     limit = facts.agg(hot_threshold(F.sum(weight), max_hot, min_hot_rows)).scalar()
     hot = facts.where(F.col(weight) > limit)
     cold = facts.where(F.col(weight) <= limit)
-    in_place = rows.join(F.broadcast(hot), key)
-    shuffled = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    # An outer join, as Spark would push an anti join below the aggregation that
+    # made the rows, and so compute them twice.
+    looked_up = rows.join(F.broadcast(hot), key, "left")
+    in_place = looked_up.where(F.col(weight).isNotNull())
+    shuffled = looked_up.where(F.col(weight).isNull()).select(rows.columns).join(cold, key)
     return in_place.unionByName(shuffled)

@@ -15,7 +15,9 @@ def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSessio
 
     On a cluster ``spark-submit`` brings the settings instead: a shuffle
     partition count that gives partitions of about 200 MB, and
-    ``spark.checkpoint.dir`` on storage that all executors share.
+    ``spark.checkpoint.dir`` on storage that all executors share. The hash join
+    threshold is of use there too: once a side has been shuffled and every
+    partition of it is known to be small, the other side need not be sorted.
     """
     partitions = "8" if cores == "*" else cores
     return (
@@ -26,6 +28,7 @@ def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSessio
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .getOrCreate()
     )
 

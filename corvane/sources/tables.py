@@ -47,17 +47,14 @@ def trade_arcs(spark: SparkSession, folder: str) -> DataFrame:
     suppliers of even key to the customers they serve."""
     items = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    sold = items.join(orders, items.l_orderkey == orders.o_orderkey).selectExpr(
+    sold = items.join(orders, items.l_orderkey == orders.o_orderkey, "left").selectExpr(
         "concat('c', o_custkey) as customer",
         "concat('p', l_partkey) as part",
         "concat('s', l_suppkey) as supplier",
-        "l_suppkey % 2 = 0 as serves",
+        "if(l_suppkey % 2 = 0, concat('c', o_custkey), null) as served",
     )
-    bought_and_served = sold.selectExpr(
-        "stack(2, customer, part, supplier, if(serves, customer, null)) as (src, dst)"
-    ).where("dst is not null")
-    supplied = items.selectExpr("concat('p', l_partkey) as src", "concat('s', l_suppkey) as dst")
-    return bought_and_served.unionByName(supplied)
+    arcs = sold.selectExpr("stack(3, customer, part, part, supplier, supplier, served) as (src, dst)")
+    return arcs.where("src is not null and dst is not null")
 
 
 def trade_nodes(spark: SparkSession, folder: str) -> DataFrame:
