@@ -12,8 +12,11 @@ FIRST_RANK = 1.0
 
 
 def inverse_document_frequency(n: Column, df: Column) -> Column:
-    """``ln(n / df)`` without smoothing: a word of every document scores zero."""
-    return F.log(n / df)
+    """``ln(n / df)`` without smoothing: a word of every document scores zero.
+
+    Null for a word of no document.
+    """
+    return F.log(F.try_divide(n, df))
 
 
 def damped(contribution: Column, redistributed: Column) -> Column:

@@ -57,7 +57,7 @@ def dangling_mass(state: DataFrame) -> DataFrame:
 
 def _redistributed(state: DataFrame) -> Column:
     """What every node gets of the dangling nodes' rank."""
-    return state.selectExpr(f"{MASS} / count(*) as per_node").scalar()
+    return state.selectExpr(f"try_divide({MASS}, count(*)) as per_node").scalar()
 
 
 def _updated(state: DataFrame, received: DataFrame) -> DataFrame:
