@@ -17,7 +17,9 @@ from corvane.operators.graph import link_counts, node_table
 from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
 from corvane.session import planned_ahead, prepare_checkpoints, shuffle_partitions
 
-MASS = "coalesce(sum(case when out_degree = 0 then rank end), 0D)"
+# Both degree columns are read as everywhere else, so that one plan's readers of
+# the node table can share one shuffle.
+MASS = "coalesce(sum(case when out_degree + out_links = 0 then rank end), 0D)"
 STATE = ("id", "out_degree", "out_links", "rank")
 
 

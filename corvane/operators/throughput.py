@@ -16,13 +16,6 @@ from corvane.functions import logs as L
 TARGET = 4000.0
 
 
-def _section() -> Column:
-    """For a header line its section: where it starts and its minute, if it has one."""
-    line = F.col("line")
-    start = F.struct("block", "seq", L.header_minute(line).alias("minute"))
-    return F.when(L.is_header(line), start)
-
-
 def section_lines(lines: DataFrame) -> DataFrame:
     """``(test_id, section, line)`` for the header and value lines within minute sections.
 
@@ -31,17 +24,23 @@ def section_lines(lines: DataFrame) -> DataFrame:
     on to the next is one row per block.
     """
     line = F.col("line")
-    by_block = lines.where(L.is_header(line) | L.is_value(line)).repartition("test_id", "block")
+    whole = lines.where("test_id is not null and block is not null")
+    by_block = whole.where(L.is_header(line) | L.is_value(line)).repartition("test_id", "block")
+    header_seq = F.when(L.is_header(line), F.col("seq"))
 
-    so_far = Window.partitionBy("test_id", "block").orderBy("seq")
+    opened = F.when(L.is_header(line), F.struct("block", "seq", L.header_minute(line).alias("minute")))
+    so_far = Window.partitionBy("test_id", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     in_block = by_block.select(
-        "test_id", "block", "line", F.last(_section(), ignorenulls=True).over(so_far).alias("own")
+        "test_id", "block", "line", F.last(opened, ignorenulls=True).over(so_far).alias("own")
+    )
+
+    block_ends = by_block.groupBy("test_id", "block").agg(
+        F.max(header_seq).alias("seq"), F.max_by(L.header_minute(line), header_seq).alias("minute")
     )
-    last_header = F.max_by(_section(), F.when(L.is_header(line), F.col("seq")))
-    block_ends = by_block.groupBy("test_id", "block").agg(last_header.alias("last"))
+    left_open = F.when(F.col("seq").isNotNull(), F.struct("block", "seq", "minute"))
     earlier = Window.partitionBy("test_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = block_ends.select(
-        "test_id", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried")
+        "test_id", "block", F.last(left_open, ignorenulls=True).over(earlier).alias("carried")
     )
 
     placed = in_block.join(carried, ["test_id", "block"])

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 def _lines(rows: DataFrame) -> DataFrame:
     """Plain tab-separated lines: nothing is quoted or escaped."""
-    return rows.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in rows.columns]).alias("value"))
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]
+    return rows.select(F.concat_ws("\t", *fields).alias("value"))
 
 
 def write_tsv(rows: DataFrame, folder: str) -> None:

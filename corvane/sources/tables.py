@@ -16,14 +16,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Deal out a scan of fewer splits than cores before costly work per row.
+    """Deal out a scan that would leave half of the cores idle, before costly work per row.
 
-    Such a scan is small - fewer splits than cores, each of limited size - so the
-    shuffle is too. A scan of a large table already has enough splits and is
-    returned as it is.
+    Such a scan is small - few splits, each of limited size - so the shuffle is
+    too. A scan of a large table has enough splits and is returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() <= cores else scan
 
 
 def documents_corpus(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,25 +72,24 @@ def event_log_lines(spark: SparkSession, folder: str) -> DataFrame:
     Section ``[Minute n]`` holds the events of hour n since the epoch, one line
     ``user=value`` each. Values are written without exponent.
     """
-    events = table(spark, folder, "events").select(
-        F.col("event_type").alias("test_id"),
-        F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).alias("hour"),
+    events = table(spark, folder, "events").selectExpr(
+        "event_type as test_id",
+        "unix_date(cast(ts as date)) * 24 + hour(ts) as hour",
         "event_id",
-        "user_id",
-        F.col("value").cast("decimal(28,10)").cast("string").alias("value"),
+        "concat_ws('=', user_id, cast(cast(value as decimal(28, 10)) as string)) as line",
     )
-    first_block = F.col("hour") * BLOCKS_PER_SECTION
-    headers = events.select("test_id", "hour").distinct().select(
+    first_block = f"hour * {BLOCKS_PER_SECTION}"
+    headers = events.select("test_id", "hour").distinct().selectExpr(
         "test_id",
-        first_block.alias("block"),
-        F.lit(-1).cast("bigint").alias("seq"),
-        F.format_string("[Minute %d]", "hour").alias("line"),
+        f"cast({first_block} as bigint) as block",
+        "-1L as seq",
+        "concat('[Minute ', hour, ']') as line",
     )
-    values = events.select(
+    values = events.selectExpr(
         "test_id",
-        (first_block + F.pmod(F.xxhash64("event_id"), F.lit(BLOCKS_PER_SECTION))).alias("block"),
-        F.col("event_id").alias("seq"),
-        F.concat_ws("=", "user_id", "value").alias("line"),
+        f"{first_block} + pmod(xxhash64(event_id), {BLOCKS_PER_SECTION}) as block",
+        "event_id as seq",
+        "line",
     )
     return headers.unionByName(values)
 
