@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from corvane.functions.logs import test_id
 
+RPS_RECORD = "test_id string, ts timestamp, node string, rps double"
+
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(test_id, block, seq, line)`` of the files named ``test.<id>.log``."""
@@ -33,3 +35,8 @@ def read_log_names(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     names = files.select(test_id(F.col("path")).alias("test_id"))
     return names.where("test_id is not null").distinct()
+
+
+def read_rps_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """``(test_id, ts, node, rps)`` as a stream over a growing folder of parquet files."""
+    return spark.readStream.schema(RPS_RECORD).parquet(folder)

@@ -4,10 +4,9 @@ import pytest
 from conftest import rows
 
 from corvane.operators.throughput import reached
+from corvane.sources.logs import RPS_RECORD, read_rps_stream
 from corvane.streaming.throughput import windowed_totals, write_final_windows
 
-SCHEMA = "test_id string, ts timestamp, node string, rps double"
-
 
 def at(hour, minute, second=0):
     return dt.datetime(2024, 1, 1, hour, minute, second)
@@ -19,11 +18,11 @@ def feed(spark, tmp_path):
     source.mkdir()
 
     def write(data):
-        frame = spark.createDataFrame(data, SCHEMA).coalesce(1)
+        frame = spark.createDataFrame(data, RPS_RECORD).coalesce(1)
         frame.write.mode("append").parquet(str(source))
 
     def run():
-        totals = windowed_totals(spark.readStream.schema(SCHEMA).parquet(str(source)))
+        totals = windowed_totals(read_rps_stream(spark, str(source)))
         out = str(tmp_path / "out")
         write_final_windows(totals, out, str(tmp_path / "state"), once=True).awaitTermination()
         return spark.read.schema(totals.schema).parquet(out)

@@ -155,12 +155,19 @@ def test_scores_against_brute_force(spark, hot):
     assert rows(the) == sorted((r[1], r[4]) for r in expected if r[0] == "the")
 
 
-def test_the_corpus_is_read_and_shuffled_once(spark, tmp_path):
+@pytest.mark.parametrize("kind", ["parquet", "text"])
+def test_the_corpus_is_read_and_shuffled_once(spark, tmp_path, kind):
     path = str(tmp_path / "corpus")
-    spark.createDataFrame([(f"t{i}", f"the w{i % 7}") for i in range(50)], "title string, text string").write.parquet(path)
-    scored = terms.tfidf(spark.read.parquet(path), max_hot=10, min_hot_rows=5)
+    made = spark.range(50).selectExpr("concat('t', id) as title", "concat('the w', id % 7) as text")
+    if kind == "parquet":
+        made.write.parquet(path)
+        corpus = spark.read.parquet(path)
+    else:
+        made.selectExpr("concat_ws('\t', 'id', title, 'year', text) as value").write.text(path)
+        corpus = read_corpus(spark, path)
+    scored = terms.tfidf(corpus, max_hot=10, min_hot_rows=5)
     execution = scored._jdf.queryExecution()
-    execution.toRdd().count()
+    assert execution.toRdd().count() == 100
     final = execution.executedPlan().toString()
     executed = re.sub(r"== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", final, flags=re.S)
     assert executed.count("FileScan") == 1
