@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.functions.links import link_targets
 from corvane.operators.lookup import attach
 
 # Entries in one stored list. A longer list becomes several rows of the same node.
@@ -18,6 +19,11 @@ MAX_LIST = 10_000
 NODE_COUNTS = ("out_degree", "out_links", "in_degree", "in_links")
 
 
+def corpus_arcs(corpus: DataFrame) -> DataFrame:
+    """``(src, dst)`` from the link targets written in the documents of a corpus ``(title, text)``."""
+    return corpus.select(F.col("title").alias("src"), F.explode(link_targets(F.col("text"))).alias("dst"))
+
+
 def link_counts(arcs: DataFrame, unique: bool = False) -> DataFrame:
     """``(src, dst, copies)``: each different arc once, copies combined before the shuffle.
 

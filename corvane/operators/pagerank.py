@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from corvane.functions.scoring import FIRST_RANK, damped
 from corvane.operators.graph import link_counts, node_table
 from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
-from corvane.session import planned_ahead, prepare_checkpoints, shuffle_partitions
+from corvane.session import partitions_for, planned_ahead, prepare_checkpoints
 
 # Both degree columns are read as everywhere else, so that one plan's readers of
 # the node table can share one shuffle.
 MASS = "coalesce(sum(case when out_degree + out_links = 0 then rank end), 0D)"
+# Different arcs per partition of their layout, some tens of megabytes.
+LINKS_PER_PARTITION = 500_000
+
 STATE = ("id", "out_degree", "out_links", "rank")
 
 
@@ -94,30 +97,30 @@ def pagerank(
     """
     spark = arcs.sparkSession
     prepare_checkpoints(spark)
-    partitions = shuffle_partitions(spark)
 
     links = link_counts(arcs, unique_arcs).persist()
     kept = [links]
     try:
-        state = initial_state(links, nodes).checkpoint()
-        all_links = state.selectExpr("coalesce(sum(out_links), 0L)").first()[0]
-        limit = max(all_links / max_hot, float(min_hot_rows))
-        is_hub = F.col("out_links") > limit
-        has_hubs = not state.where(is_hub).isEmpty()
-
-        plain_links = links
-        if has_hubs:
-            hubs = F.broadcast(state.where(is_hub).selectExpr("id as src"))
-            plain_links = links.join(hubs, "src", "left_anti")
-            hub_links = links.join(hubs, "src", "left_semi").repartition(partitions, "src", "dst").persist()
-            kept.append(hub_links)
-        laid_out = plain_links.repartition(partitions, "src").sortWithinPartitions("src").persist()
-        kept.append(laid_out)
-        for frame in kept[1:]:
-            frame.count()  # only a filled cache tells the planner its layout
-        links.unpersist()
-
-        with planned_ahead(spark):
+        all_links = links.count()
+        partitions = partitions_for(spark, all_links, LINKS_PER_PARTITION)
+        with planned_ahead(spark, partitions):
+            state = initial_state(links, nodes).checkpoint()
+            limit = max(all_links / max_hot, float(min_hot_rows))
+            is_hub = F.col("out_links") > limit
+            has_hubs = not state.where(is_hub).isEmpty()
+
+            plain_links = links
+            if has_hubs:
+                hubs = F.broadcast(state.where(is_hub).selectExpr("id as src"))
+                plain_links = links.join(hubs, "src", "left_anti")
+                hub_links = links.join(hubs, "src", "left_semi").repartition(partitions, "src", "dst").persist()
+                kept.append(hub_links)
+            laid_out = plain_links.repartition(partitions, "src").sortWithinPartitions("src").persist()
+            kept.append(laid_out)
+            for frame in kept[1:]:
+                frame.count()
+            links.unpersist()
+
             for _ in range(iterations):
                 shares = _shares(state)
                 sent = _sent(laid_out.join(shares.hint("merge"), "src"))

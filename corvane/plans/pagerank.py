@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.operators.pagerank import pagerank
 from corvane.operators.ranking import top_k
-from corvane.sinks import write_ranked_tsv
+from corvane.sinks import write_ranked_tsv, write_tsv
 from corvane.sources.tabbed import read_arcs, read_nodes
 
 
@@ -35,9 +35,12 @@ def pagerank_job(
     iterations: int = 10,
     unique_arcs: bool = False,
     k: int = 100,
+    all_path: str | None = None,
 ) -> DataFrame:
-    """Write the ranked list of the best pages; all ranks are returned."""
+    """Write the ranked list of the best pages and, if asked for, all ranks; these are also returned."""
     nodes = read_nodes(spark, nodes_path)
     ranks = pagerank(read_arcs(spark, arcs_path), nodes, iterations, unique_arcs)
     write_ranked_tsv(best_pages(ranks, nodes, k), best_path)
+    if all_path:
+        write_tsv(ranks, all_path)
     return ranks

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corvane.operators import terms
 from corvane.operators.ranking import top_k
@@ -18,11 +19,11 @@ def best_documents(corpus: DataFrame, term: str, k: int = 100) -> DataFrame:
 def search_job(
     spark: SparkSession, corpus_path: str, term: str, all_path: str, best_path: str, k: int = 100
 ) -> None:
-    """Write every document's score for the term, and the ranked list of the best."""
+    """Write every document's score for the term (word, title, score), and the ranked list of the best."""
     corpus = read_corpus(spark, corpus_path)
     scored = terms.tfidf_of_term(corpus, term).persist()
     try:
-        write_tsv(scored, all_path)
+        write_tsv(scored.select(F.lit(term).alias("word"), "title", "tfidf"), all_path)
         write_ranked_tsv(top_k(scored, "tfidf", "title", k=k), best_path)
     finally:
         scored.unpersist()

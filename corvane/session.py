@@ -60,20 +60,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
+    """Partitions for this many rows: work for all cores, and not more than the session allows."""
+    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
+    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @contextmanager
-def planned_ahead(spark: SparkSession) -> Iterator[None]:
-    """Without adaptive execution, for loops over data that is laid out on purpose.
+def planned_ahead(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Every shuffle with this many partitions and none changed on the way.
 
-    A result planned adaptively does not say how it is partitioned, so what is
-    checkpointed from it would be shuffled again by its next reader.
+    For loops over data that is laid out on purpose. A result planned adaptively
+    does not say how it is partitioned, so what is checkpointed from it would be
+    shuffled again by its next reader.
     """
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.functions.links import link_targets
-
 # A section's lines are dealt to this many blocks, so a busy hour is not one block.
 BLOCKS_PER_SECTION = 64
 
@@ -35,12 +33,6 @@ def pages_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return spread(pages.select(F.col("url").alias("title"), F.col("html").alias("text")))
 
 
-def page_links(spark: SparkSession, folder: str) -> DataFrame:
-    """``(src, dst)`` from the link targets written in each page."""
-    pages = spread(table(spark, folder, "pages").select("url", "html"))
-    return pages.select(F.col("url").alias("src"), F.explode(link_targets(F.col("html"))).alias("dst"))
-
-
 def trade_arcs(spark: SparkSession, folder: str) -> DataFrame:
     """Customers link to the parts they order, parts to their suppliers, and
     suppliers of even key to the customers they serve."""

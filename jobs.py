@@ -32,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     rank.add_argument("--iterations", type=int, default=10)
     rank.add_argument("--unique-arcs", action="store_true", help="count repeated arcs once")
     rank.add_argument("--top", type=int, default=100)
+    rank.add_argument("--all", help="folder for every node's rank")
     rank.add_argument("--out", default="pagerank", help="folder for the ranked list")
 
     measure = jobs.add_parser("throughput", help="throughput of finished or running tests, from their logs")
@@ -54,7 +55,14 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         search_job(spark, options.corpus, options.term, options.all, options.out, options.top)
     elif options.job == "pagerank":
         pagerank_job(
-            spark, options.arcs, options.nodes, options.out, options.iterations, options.unique_arcs, options.top
+            spark,
+            options.arcs,
+            options.nodes,
+            options.out,
+            options.iterations,
+            options.unique_arcs,
+            options.top,
+            options.all,
         )
     elif options.job == "throughput":
         write_tsv(throughput_report(spark, options.logs, options.target), options.out)

@@ -89,3 +89,13 @@ def test_reading_arcs_and_nodes(spark, tmp_path):
     assert rows(read_arcs(spark, str(tmp_path / "arcs"))) == [("a", "b"), ("b", "c, d")]
     assert short_rows(spark, str(tmp_path / "arcs"), ARC_FIELDS).first().rejected == 1
     assert rows(read_nodes(spark, str(tmp_path / "nodes"))) == [("a", "Title A"), ("b", None)]
+
+
+def test_arcs_of_a_corpus(spark):
+    pages = [
+        ("p1", '<a href="q, r">x</a> <a class="y" href="p2">z</a><a href="p2">again</a>'),
+        ("p2", "<a href='single'>no</a> <a HREF=\"upper\">no</a>"),
+        ("p3", '<link href="">'),
+    ]
+    corpus = spark.createDataFrame(pages, "title string, text string")
+    assert rows(G.corpus_arcs(corpus)) == [("p1", "p2"), ("p1", "p2"), ("p1", "q, r"), ("p3", "")]

@@ -19,7 +19,7 @@ def test_search_and_throughput(spark, tmp_path):
     (tmp_path / "dump").write_text("\n".join(CORPUS))
     run(spark, "search", tmp_path / "dump", "--all", tmp_path / "all", "--out", tmp_path / "best", "--top", 1)
     assert [line.split("\t")[0] for line in lines(tmp_path / "best")] == ["Alpha"]
-    assert [line.split("\t")[0] for line in lines(tmp_path / "all")] == ["Alpha", "Beta"]
+    assert [line.split("\t")[1] for line in lines(tmp_path / "all")] == ["Alpha", "Beta"]
 
     (tmp_path / "logs").mkdir()
     for name, text in LOGS.items():
@@ -28,6 +28,15 @@ def test_search_and_throughput(spark, tmp_path):
     assert lines(tmp_path / "report") == ["1425\t1700.75\t1", "5\t0.0\t", "77\t4000.5\t1"]
 
 
+def test_pagerank(spark, tmp_path):
+    (tmp_path / "arcs").write_text("a\tb\nb\ta\n")
+    (tmp_path / "nodes").write_text("a\tA\nb\tB\n")
+    run(spark, "pagerank", tmp_path / "arcs", tmp_path / "nodes", "--iterations", 2, "--out", tmp_path / "best",
+        "--all", tmp_path / "all")
+    assert lines(tmp_path / "best") == ["A\t1.0", "B\t1.0"]
+    assert lines(tmp_path / "all") == ["a\t1.0", "b\t1.0"]
+
+
 def test_watch(spark, tmp_path):
     data = [("1", at(9, 0, 1), "a", 5.0), ("1", at(9, 0, 2), "b", 6.0), ("2", at(9, 0), "a", 1.0), ("1", at(9, 30), "a", 9.0)]
     spark.createDataFrame(data, RPS_RECORD).coalesce(1).write.parquet(str(tmp_path / "in"))
