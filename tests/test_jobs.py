@@ -38,7 +38,13 @@ def test_pagerank(spark, tmp_path):
 
 
 def test_watch(spark, tmp_path):
-    data = [("1", at(9, 0, 1), "a", 5.0), ("1", at(9, 0, 2), "b", 6.0), ("2", at(9, 0), "a", 1.0), ("1", at(9, 30), "a", 9.0)]
+    data = [
+        ("1", at(9, 0, 1), "a", 5.0),
+        ("1", at(9, 0, 2), "b", 6.0),
+        ("2", at(9, 0), "a", 1.0),
+        ("1", at(9, 30), "a", 9.0),
+    ]
     spark.createDataFrame(data, RPS_RECORD).coalesce(1).write.parquet(str(tmp_path / "in"))
-    run(spark, "watch", tmp_path / "in", "--state", tmp_path / "state", "--out", tmp_path / "out", "--once", "--target", 11)
+    folders = ["--state", tmp_path / "state", "--out", tmp_path / "out"]
+    run(spark, "watch", tmp_path / "in", *folders, "--once", "--target", 11)
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("1", at(9, 0), 11.0)]

@@ -4,7 +4,6 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from corvane.operators import graph as G
 from corvane.operators import pagerank as P
 from corvane.plans.pagerank import best_pages, pagerank_job
 from test_graph import EVERY_KEY_HOT, LIST, SOME_KEYS_HOT, links_of, nodes_of

@@ -58,7 +58,8 @@ def test_values_and_targets(spark):
     totals = T.rps_per_minute(lines_of(spark, {"1": text}))
     assert rows(totals) == [("1", 3, pytest.approx(4000))]
     assert rows(T.rps_target(totals, 3999.9999999)) == [("1", 3)]
-    exact = T.rps_per_minute(lines_of(spark, {"1": "[Minute 1]\na=3999.5\n[Minute 2]\na=2000\nb=2000\n[Minute 4]\na=9999"}))
+    text = "[Minute 1]\na=3999.5\n[Minute 2]\na=2000\nb=2000\n[Minute 4]\na=9999"
+    exact = T.rps_per_minute(lines_of(spark, {"1": text}))
     assert rows(T.rps_target(exact)) == [("1", 2)]
 
 
