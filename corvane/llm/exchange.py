@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corvane.session import scratch_path
 
 # Characters of text that are handled together, and that share what they have in common before a shuffle.
-BUCKET_CHARS = 8 << 20
+BUCKET_CHARS = 2 << 20
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
