@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corvane.llm import repetition, window_dedup
+from corvane.llm import packing, phrases, repetition, window_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,12 +17,25 @@ def op5_windows(spark: SparkSession, folder: str) -> DataFrame:
     return window_dedup.remove_repeated_windows(_table(spark, folder, "documents"), give_text=False)
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
+def op8_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.measure(_table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_windows": op5_windows, "op10_repetition": op10_repetition}
+    return {
+        "op5_windows": op5_windows,
+        "op7_packing": op7_packing,
+        "op8_phrases": op8_phrases,
+        "op10_repetition": op10_repetition,
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -29,9 +29,9 @@ def _word_table(breaks: list[int]) -> np.ndarray:
 
 
 SPACES = [*range(0x09, 0x0E), 0x20]
-# Bytes of a word: everything but white space; and letters, digits and all beyond ASCII.
+# Bytes of a word: everything but white space; and letters of either case, digits and all beyond ASCII.
 NOT_SPACE = _word_table(SPACES)
-ALNUM = _word_table([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
+ALNUM = _word_table([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
