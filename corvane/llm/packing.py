@@ -101,9 +101,12 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict
     if wanted:
         lengths, demand = np.array(list(wanted)), np.array(list(wanted.values()), float)
         basis, amount = _first_basis(lengths, demand, capacity)
-        inverse = np.linalg.inv(basis)
+        inverse = None
         volume = float(lengths @ demand) / capacity
         for _ in range(MAX_COLUMNS):
+            if amount.sum() - volume < max(0.5, GAP * volume):
+                break
+            inverse = _inverse(basis) if inverse is None else inverse
             prices = inverse.sum(axis=0)
             pattern = _knapsack(lengths, prices, capacity)
             worth, total = float(prices @ pattern), float(amount.sum())
@@ -168,6 +171,22 @@ def _first_basis(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> tupl
     return basis, amount
 
 
+def _inverse(basis: np.ndarray) -> np.ndarray:
+    """By elimination, pivot by pivot, in plain array operations: a threaded linear algebra
+    library beside the driver's JVM has been seen to stall."""
+    m = len(basis)
+    both = np.hstack([basis, np.eye(m)])
+    for k in range(m):
+        pivot = k + int(np.abs(both[k:, k]).argmax())
+        both[[k, pivot]] = both[[pivot, k]]
+        both[k] /= both[k, k]
+        factors = both[:, k].copy()
+        factors[k] = 0
+        rows = np.flatnonzero(factors)
+        both[rows] -= factors[rows, None] * both[k]
+    return both[:, m:]
+
+
 def _best_fit(left: Counter, capacity: int) -> list[tuple[dict[int, int], int]]:
     """The left-over pieces, fewer than fill a sequence for each pattern."""
     patterns: Counter = Counter()
