@@ -4,19 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corvane.llm import packing, phrases, repetition, window_dedup
+from corvane.llm import language, packing, phrases, repetition, toxicity, window_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _fold(folds: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    labelled = toxicity.labelled_documents(documents, _table(spark, folder, "labels"))
+    scored = toxicity.score(documents, toxicity.fit(labelled.where(_fold(5) != 0)))
+    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", F.expr("cast(score >= 0.5 as int) as predicted"))
+
+
 def op5_windows(spark: SparkSession, folder: str) -> DataFrame:
     return window_dedup.remove_repeated_windows(_table(spark, folder, "documents"), give_text=False)
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    predicted = language.predict(documents, language.fit(documents.where(_fold(4) != 2)))
+    return predicted.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
@@ -31,7 +49,9 @@ def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op5_windows": op5_windows,
+        "op6_language": op6_language,
         "op7_packing": op7_packing,
         "op8_phrases": op8_phrases,
         "op10_repetition": op10_repetition,
