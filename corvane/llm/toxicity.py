@@ -2,9 +2,10 @@
 
 A text's score is the logistic of a bias, the weights of its terms and, for every pair of
 terms, the product of their factor vectors: an insult next to a mention of a group can count
-for more than the two apart. Terms are hashed to ``BUCKETS`` places, so the model has a fixed
-size. It is fitted on a bounded sample of the labelled rows (``TRAIN_ROWS``, chosen by a hash
-of the id); scoring is one pass over all whole texts without a shuffle.
+for more than the two apart. Terms are the words and, since insults are inflected, their first
+4, 5 and 6 bytes, all hashed to 32 bits. The model is fitted on a bounded sample of the labelled
+rows (``TRAIN_ROWS``, chosen by a hash of the id) and keeps the terms that tell the
+labels apart there, which bounds its size; scoring is one pass over all whole texts without a shuffle.
 
 Nulls and edge cases: a null or empty text has no term and scores the bias alone. Repeated rows
 are scored each for itself. Labels that are null or without a document are left out; without
@@ -24,24 +25,27 @@ from pyspark.sql import functions as F
 
 from corvane.llm import texts
 
-BUCKETS = 1 << 18
+STEMS = (4, 5, 6)
 FACTORS = 4
-# At most about so many labelled rows are learned from, and terms in at least so many of them.
+# At most about so many labelled rows are learned from; terms in at least so many of them whose
+# share of label 1 differs from that of all rows by at least so much are kept.
 TRAIN_ROWS = 12_000
-MIN_ROWS_OF_TERM = 8
+MIN_ROWS_OF_TERM = 4
+MIN_CHI_SQUARE = 12.0
 ROUNDS = 120
 RATE = 0.05
-DECAY = 2e-5
+DECAY = 3e-4
 
 
 @dataclass
 class Model:
     bias: float
+    keys: np.ndarray  # the hashed terms it knows, ascending
     weights: np.ndarray
     factors: np.ndarray
 
     def scores(self, terms: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Of texts whose different terms are ``terms[first[i]:first[i + 1]]``."""
+        """Of texts whose different terms are the keys at ``terms[first[i]:first[i + 1]]``."""
         total = self.bias + _row_sums(self.weights[terms], first)
         for k in range(self.factors.shape[1]):
             v = self.factors[terms, k]
@@ -55,12 +59,23 @@ def _row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.diff(running[first])
 
 
-def _terms(block: texts.Block) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's different hashed terms, and where those of each text begin."""
+def _terms(block: texts.Block, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's different hashed terms, and where those of each text begin; of known terms their places."""
     words = texts.find_words(block, texts.ALNUM)
-    hashed = texts.word_hashes(block, words, lower=True) & np.uint64(BUCKETS - 1)
-    keys = np.unique(words.owners().astype(np.int64) * BUCKETS + hashed.astype(np.int64))
-    return keys % BUCKETS, np.searchsorted(keys // BUCKETS, np.arange(len(block) + 1))
+    symbols = texts._SYMBOLS[texts.LOWER[block.data]]
+    found = []
+    for size in (None, *STEMS):
+        ends = words.ends if size is None else np.minimum(words.ends, words.starts + size)
+        terms = texts.span_hashes(symbols, words.starts, ends)
+        terms = (texts.mix(terms + np.uint64(size or 0)) >> np.uint64(32)).astype(np.int64)
+        owner = words.owners().astype(np.int64)
+        if known is not None:
+            at = np.searchsorted(known, terms)
+            hit = known[np.minimum(at, len(known) - 1)] == terms if len(known) else np.zeros(len(terms), bool)
+            terms, owner = at[hit], owner[hit]
+        found.append(owner << 32 | terms)
+    keys = np.unique(np.concatenate(found))
+    return keys & 0xFFFFFFFF, np.searchsorted(keys >> 32, np.arange(len(block) + 1))
 
 
 def _labelled_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,19 +94,21 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     sample = sample.mapInArrow(_labelled_terms, "label int, terms binary").collect()
     sample.sort(key=lambda r: (r.label, r.terms))
     y = np.array([r.label for r in sample], float)
-    weights, factors = np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32)
     if len(np.unique(y)) < 2:
         p = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
-        return Model(float(np.log(p / (1 - p))), weights, factors)
+        return Model(float(np.log(p / (1 - p))), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
     terms = np.concatenate([np.frombuffer(r.terms, "<u4") for r in sample])
     owner = np.repeat(np.arange(len(sample)), [len(r.terms) // 4 for r in sample])
-    seen = np.bincount(terms, minlength=BUCKETS)
-    used = np.flatnonzero(seen >= MIN_ROWS_OF_TERM)
-    kept = seen[terms] >= MIN_ROWS_OF_TERM
-    column, owner = np.searchsorted(used, terms[kept]), owner[kept]
+    used, place, seen = np.unique(terms, return_inverse=True, return_counts=True)
+    toxic, share = np.bincount(place, weights=y[owner], minlength=len(used)), y.mean()
+    apart = (toxic - seen * share) ** 2 / (seen * share * (1 - share) * (1 - seen / (len(y) + 1)))
+    used = used[(seen >= MIN_ROWS_OF_TERM) & (apart >= MIN_CHI_SQUARE)].astype(np.int64)
+    column = np.minimum(np.searchsorted(used, terms), max(len(used) - 1, 0))
+    kept = used[column] == terms if len(used) else np.zeros(len(terms), bool)
+    column, owner = column[kept], owner[kept]
     first = np.searchsorted(owner, np.arange(len(sample) + 1))
-    bias, weights[used], factors[used] = _descend(column, owner, first, y, len(used))
-    return Model(bias, weights, factors)
+    bias, weights, factors = _descend(column, owner, first, y, len(used))
+    return Model(bias, used, weights.astype(np.float32), factors.astype(np.float32))
 
 
 def _descend(column: np.ndarray, owner: np.ndarray, first: np.ndarray, y: np.ndarray, n: int) -> tuple[float, np.ndarray, np.ndarray]:
@@ -101,7 +118,7 @@ def _descend(column: np.ndarray, owner: np.ndarray, first: np.ndarray, y: np.nda
     m, s = np.zeros(size), np.zeros(size)
     gather = lambda per_row: np.bincount(column, weights=per_row, minlength=n)
     for step in range(1, ROUNDS + 1):
-        model = Model(x[0], x[1 : n + 1], x[n + 1 :].reshape(n, FACTORS))
+        model = Model(x[0], column, x[1 : n + 1], x[n + 1 :].reshape(n, FACTORS))
         miss = (model.scores(column, first) - y) / len(y)
         by_entry = miss[owner]
         slope = [np.array([miss.sum()]), gather(by_entry)]
@@ -119,11 +136,11 @@ def _descend(column: np.ndarray, owner: np.ndarray, first: np.ndarray, y: np.nda
 
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, score)`` per row of ``documents (doc_id, text)``."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # a fixed size: BUCKETS places
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the sample's terms
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, block in texts.blocks(batches):
-            values = shared.value.scores(*_terms(block))
+            values = shared.value.scores(*_terms(block, shared.value.keys))
             yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(values)], ["doc_id", "score"])
 
     rows = documents.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
