@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import language, packing, phrases, repetition, toxicity, window_dedup
+from corvane.llm import language, packing, parity_join, phrases, repetition, toxicity, window_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op8_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op9_parity(spark: SparkSession, folder: str) -> DataFrame:
+    return parity_join.similar_documents(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.measure(_table(spark, folder, "documents"))
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language": op6_language,
         "op7_packing": op7_packing,
         "op8_phrases": op8_phrases,
+        "op9_parity": op9_parity,
         "op10_repetition": op10_repetition,
     }
 
