@@ -29,7 +29,7 @@ STEMS = (4, 5, 6)
 FACTORS = 4
 # At most about so many labelled rows are learned from; terms in at least so many of them whose
 # share of label 1 differs from that of all rows by at least so much are kept.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 5_000
 MIN_ROWS_OF_TERM = 4
 MIN_CHI_SQUARE = 12.0
 ROUNDS = 120
@@ -107,6 +107,7 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     kept = used[column] == terms if len(used) else np.zeros(len(terms), bool)
     column, owner = column[kept], owner[kept]
     first = np.searchsorted(owner, np.arange(len(sample) + 1))
+    del sample, terms, place, kept
     bias, weights, factors = _descend(column, owner, first, y, len(used))
     return Model(bias, used, weights.astype(np.float32), factors.astype(np.float32))
 
