@@ -42,7 +42,7 @@ SHINGLE = 4
 PERCENT = 85
 BAND = 1.3
 # A group is compared with 1 of its members in the first round, later with up to so many.
-MOST_CENTRES = 16
+MOST_CENTRES = 64
 
 SIGNED = "doc_id bigint, n_shingles bigint, class bigint"
 
@@ -221,7 +221,7 @@ def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, pe
     ``groups (segment, class)`` holds all pairs that may be similar, ``sets (class, grams)`` their shingles.
     """
     known = spark.createDataFrame([], "class bigint, component bigint")
-    links = spark.createDataFrame([], "a bigint, b bigint")
+    links = tried = spark.createDataFrame([], "a bigint, b bigint")
     centres = 1
     while True:
         placed = groups.join(known, "class", "left").select("segment", "class", F.coalesce("component", "class").alias("component"))
@@ -234,6 +234,8 @@ def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, pe
         chosen = written(chosen.selectExpr("segment", "c.class as centre", "c.component as of"), "centres")
         pairs = placed.join(chosen, "segment").where("component != of")
         pairs = pairs.selectExpr("least(class, centre) as a", "greatest(class, centre) as b").distinct()
+        pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        tried = tried.unionByName(pairs)
         similar = written(_compared(sets, pairs, percent), "similar")
         # What a centre has been compared with all others, it need not be again.
         groups = placed.join(chosen.selectExpr("segment", "centre as class"), ["segment", "class"], "left_anti").select("segment", "class")
