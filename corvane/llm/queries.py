@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import language, packing, parity_join, phrases, repetition, toxicity, window_dedup
+from corvane.llm import language, packing, parity_join, phrases, repetition, secrets, toxicity, window_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", F.expr("cast(score >= 0.5 as int) as predicted"))
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(_table(spark, folder, "documents"))
+
+
 def op5_windows(spark: SparkSession, folder: str) -> DataFrame:
     return window_dedup.remove_repeated_windows(_table(spark, folder, "documents"), give_text=False)
 
@@ -54,6 +58,7 @@ def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_secrets": op2_secrets,
         "op5_windows": op5_windows,
         "op6_language": op6_language,
         "op7_packing": op7_packing,
