@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: how a link target is written in a page.
-HREF = r'href="([^"]*)"'
+HREF = r'(?<![\w-])href="([^"]*)"'
 
 
 def link_targets(html: Column) -> Column:

@@ -22,8 +22,8 @@ def is_header(line: Column) -> Column:
 
 
 def header_minute(line: Column) -> Column:
-    """The n of ``[Minute n]``; null for any other line."""
-    return F.nullif(F.regexp_extract(line, MINUTE_HEADER, 1), F.lit("")).cast("int")
+    """The n of ``[Minute n]``; null for any other line and for a number beyond any minute."""
+    return F.regexp_extract(line, MINUTE_HEADER, 1).try_cast("int")
 
 
 def is_value(line: Column) -> Column:

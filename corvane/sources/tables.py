@@ -13,30 +13,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal out a scan that would leave half of the cores idle, before costly work per row.
-
-    Such a scan is small - few splits, each of limited size - so the shuffle is
-    too. A scan of a large table has enough splits and is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if 2 * scan.rdd.getNumPartitions() <= cores else scan
-
-
 def documents_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").where("doc_id is not null and text is not null")
-    return spread(documents.select(F.col("doc_id").cast("string").alias("title"), "text"))
+    """A null text is empty and keeps its document."""
+    documents = table(spark, folder, "documents").where("doc_id is not null")
+    return documents.selectExpr("cast(doc_id as string) as title", "coalesce(text, '') as text")
 
 
 def pages_corpus(spark: SparkSession, folder: str) -> DataFrame:
-    pages = table(spark, folder, "pages").where("url is not null and html is not null")
-    return spread(pages.select(F.col("url").alias("title"), F.col("html").alias("text")))
+    pages = table(spark, folder, "pages").where("url is not null")
+    return pages.selectExpr("url as title", "coalesce(html, '') as text")
 
 
 def trade_arcs(spark: SparkSession, folder: str) -> DataFrame:
     """Customers link to the parts they order, parts to their suppliers, and
     suppliers of even key to the customers they serve."""
-    items = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey"))
+    items = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     sold = items.join(orders, items.l_orderkey == orders.o_orderkey, "left").selectExpr(
         "concat('c', o_custkey) as customer",

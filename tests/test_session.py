@@ -1,3 +1,5 @@
+import tempfile
+
 from types import SimpleNamespace
 
 import pytest
@@ -19,7 +21,7 @@ def test_the_named_folder_is_used():
 def test_a_cluster_must_name_a_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         S.shared_folder(fake())
-    assert S.shared_folder(fake(master="local[2]")).startswith("/tmp")
+    assert S.shared_folder(fake(master="local[2]")).startswith(tempfile.gettempdir())
 
 
 def test_settings_come_back_even_after_a_failure(spark):
