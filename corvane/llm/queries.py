@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import language, packing, parity_join, phrases, repetition, secrets, token_trees, toxicity, window_dedup
+from corvane.llm import kneser_ney, language, packing, parity_join, phrases, repetition, secrets, token_trees, toxicity, window_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +29,12 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
 
 
+def op3_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    scored = kneser_ney.score(documents, kneser_ney.fit(documents.where(F.coalesce(_fold(7) != 2, F.lit(True)))))
+    return scored.withColumn("held_out", _fold(7) == 2)
+
+
 def op4_token_trees(spark: SparkSession, folder: str) -> DataFrame:
     """Counts before and after masking all longer numbers."""
     return token_trees.recounted(token_trees.with_masking(token_trees.count(_table(spark, folder, "documents"))))
@@ -64,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_secrets": op2_secrets,
+        "op3_kneser_ney": op3_kneser_ney,
         "op4_token_trees": op4_token_trees,
         "op5_windows": op5_windows,
         "op6_language": op6_language,
