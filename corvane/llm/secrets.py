@@ -24,6 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.llm.exchange import written
+
 MIN_DOCS = 5
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 20, 6
@@ -97,7 +99,8 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, train_rows: in
     ``labelled`` provides the labels.
     """
     words = dictionary(documents)
-    described = describe(candidates(documents), words)
+    # Written once: training, its counts and the verdicts all read it.
+    described = written(describe(candidates(documents), words), "candidates")
     taught = labelled(described) if findings is None else describe(findings, words)
     taught = taught.select("found", "label", *FEATURES)
     count, ones = taught.agg(F.count("*"), F.avg("label")).first()
