@@ -64,9 +64,9 @@ def _measure(block: texts.Block) -> dict[str, np.ndarray]:
 
     # Lines: each text is cut at its line feeds; lines without a word do not count.
     feeds = np.flatnonzero(block.data == 0x0A)
-    begins = np.sort(np.concatenate([block.offsets[:-1], feeds + 1]), kind="stable")
+    # One line for each place: empty texts and the empty last line after a feed begin where the next text does.
+    begins = np.unique(np.concatenate([block.offsets[:-1], feeds + 1]))
     line_of = np.searchsorted(block.offsets, begins, "right") - 1
-    # A text that ends in a feed has an empty last line; it holds no word, whatever text it is counted to.
     ends = np.minimum(np.searchsorted(feeds, begins), len(feeds))
     next_feed = np.concatenate([feeds, [len(block.data)]])[ends]
     stops = np.maximum(np.minimum(next_feed, block.offsets[np.minimum(line_of + 1, len(block))]), begins)
