@@ -1,6 +1,7 @@
 """The registered queries against their SQL on the small tables."""
 
 import os
+import re
 
 import pytest
 from check_oracles import compare, connect
@@ -18,11 +19,14 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    """But for those of the llm subpackage, which SQL cannot express and tests of their own cover."""
+    without = contract.queries().keys() - contract.oracle_sql().keys()
+    assert all(re.match(r"op\d+_|pipeline$", name) for name in without)
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 @needs_tables
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", contract.oracle_sql())
 def test_query_equals_its_sql(spark, database, name):
     assert compare(spark, database, name, FOLDER) == ""
 
