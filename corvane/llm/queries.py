@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import kneser_ney, language, packing, parity_join, phrases, repetition, secrets, token_trees, toxicity, window_dedup
+from corvane.llm import kneser_ney, language, packing, parity_join, phrases, repetition, secrets, sql, token_trees, toxicity, window_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -55,7 +55,8 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_phrases(spark: SparkSession, folder: str) -> DataFrame:
-    return phrases.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    judged = phrases.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return judged.drop("items", "near_items")
 
 
 def op9_parity(spark: SparkSession, folder: str) -> DataFrame:
@@ -82,4 +83,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
