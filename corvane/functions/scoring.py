@@ -19,6 +19,8 @@ def inverse_document_frequency(n: Column, df: Column) -> Column:
     return F.log(F.try_divide(n, df))
 
 
-def damped(contribution: Column, redistributed: Column) -> Column:
+def damped(
+    contribution: Column, redistributed: Column, damping: float = DAMPING, base: float = BASE_RANK
+) -> Column:
     """A node's new rank."""
-    return F.lit(BASE_RANK) + F.lit(DAMPING) * (contribution + redistributed)
+    return F.lit(base) + F.lit(damping) * (contribution + redistributed)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.functions.scoring import FIRST_RANK, damped
+from corvane.functions.scoring import BASE_RANK, DAMPING, FIRST_RANK, damped
 from corvane.operators.graph import link_counts, node_table
 from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
 from corvane.session import partitions_for, planned_ahead, prepare_checkpoints
@@ -65,16 +65,20 @@ def _redistributed(state: DataFrame) -> Column:
     return state.selectExpr(f"try_divide({MASS}, count(*)) as per_node").scalar()
 
 
-def _updated(state: DataFrame, received: DataFrame) -> DataFrame:
+def _updated(
+    state: DataFrame, received: DataFrame, damping: float = DAMPING, base: float = BASE_RANK
+) -> DataFrame:
     """``state`` with new ranks; a left join, since every node keeps its rank."""
     contribution = F.coalesce("contribution", F.lit(0.0))
-    rank = damped(contribution, _redistributed(state)).alias("rank")
+    rank = damped(contribution, _redistributed(state), damping, base).alias("rank")
     return state.join(received, "id", "left").select("id", "out_degree", "out_links", rank)
 
 
-def pagerank_step(links: DataFrame, state: DataFrame, **hot) -> DataFrame:
+def pagerank_step(
+    links: DataFrame, state: DataFrame, damping: float = DAMPING, base: float = BASE_RANK, **hot
+) -> DataFrame:
     """``state`` after one more iteration, as one lazy plan."""
-    return _updated(state, contributions(links, state, **hot))
+    return _updated(state, contributions(links, state, **hot), damping, base)
 
 
 def pagerank(
@@ -84,9 +88,14 @@ def pagerank(
     unique_arcs: bool = False,
     max_hot: int = MAX_HOT,
     min_hot_rows: int = MIN_HOT_ROWS,
+    damping: float = DAMPING,
+    base: float = BASE_RANK,
 ) -> DataFrame:
     """``(id, rank)`` after a fixed number of iterations.
 
+    A node keeps ``base`` and gets ``damping`` times what it receives; the ranks sum up to
+    the number of nodes if the two sum up to 1.
+
     Arcs are laid out once, partitioned and sorted by source, and kept; the nodes'
     state has the same layout and keeps it from iteration to iteration. Arcs and
     state then meet in place, and per iteration only the contributions move,
@@ -127,7 +136,7 @@ def pagerank(
                 if has_hubs:
                     by_hubs = hub_links.join(F.broadcast(shares.where(is_hub)), "src")
                     sent = sent.unionByName(_sent(by_hubs))
-                state = _updated(state, _received(sent).hint("merge")).checkpoint()
+                state = _updated(state, _received(sent).hint("merge"), damping, base).checkpoint()
     finally:
         for frame in kept:
             frame.unpersist()

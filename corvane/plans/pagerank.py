@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.functions.scoring import BASE_RANK, DAMPING
 from corvane.operators.pagerank import pagerank
 from corvane.operators.ranking import top_k
 from corvane.sinks import write_ranked_tsv, write_tsv
@@ -21,10 +22,13 @@ def best_pages(ranks: DataFrame, nodes: DataFrame, k: int = 100, digits: int = 6
     """``(title, pagerank)`` of the ``k`` highest ranks, equal ranks by title.
 
     Ranks are rounded first: nodes in the same position get the same rank, but
-    sums in another order can differ in the last bits.
+    sums in another order can differ in the last bits. Only nodes that reach the
+    ``k``-th rank, ties included, get their titles attached.
     """
-    titled = with_titles(ranks, nodes).select("title", F.round("rank", digits).alias("pagerank"))
-    return top_k(titled, "pagerank", "title", k=k)
+    rounded = ranks.withColumn("rank", F.round("rank", digits))
+    least = rounded.orderBy(F.desc("rank")).limit(k).agg(F.min("rank")).scalar()
+    titled = with_titles(rounded.where(F.col("rank") >= least), nodes)
+    return top_k(titled.select("title", F.col("rank").alias("pagerank")), "pagerank", "title", k=k)
 
 
 def pagerank_job(
@@ -36,10 +40,12 @@ def pagerank_job(
     unique_arcs: bool = False,
     k: int = 100,
     all_path: str | None = None,
+    damping: float = DAMPING,
+    base: float = BASE_RANK,
 ) -> DataFrame:
     """Write the ranked list of the best pages and, if asked for, all ranks; these are also returned."""
     nodes = read_nodes(spark, nodes_path)
-    ranks = pagerank(read_arcs(spark, arcs_path), nodes, iterations, unique_arcs)
+    ranks = pagerank(read_arcs(spark, arcs_path), nodes, iterations, unique_arcs, damping=damping, base=base)
     write_ranked_tsv(best_pages(ranks, nodes, k), best_path)
     if all_path:
         write_tsv(ranks, all_path)

@@ -61,9 +61,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
-    """Partitions for this many rows: work for all cores, and not more than the session allows."""
-    wanted = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
-    return min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Partitions for this many rows: work for all cores, and none larger than asked for."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
 
 
 @contextmanager

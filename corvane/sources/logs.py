@@ -17,7 +17,7 @@ RPS_RECORD = "test_id string, ts timestamp, node string, rps double"
 
 def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(test_id, block, seq, line)`` of the files named ``test.<id>.log``."""
-    lines = spark.read.text(path, recursiveFileLookup=True).select(
+    lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="test.*.log").select(
         test_id(F.col("_metadata.file_name")).alias("test_id"),
         F.struct(
             F.col("_metadata.file_path").alias("path"),
@@ -32,7 +32,7 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_log_names(spark: SparkSession, path: str) -> DataFrame:
     """``test_id`` of every log, from the file listing alone."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "test.*.log").load(path)
     names = files.select(test_id(F.col("path")).alias("test_id"))
     return names.where("test_id is not null").distinct()
 

@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from corvane.functions.scoring import BASE_RANK, DAMPING
 from corvane.operators.throughput import TARGET, reached
 from corvane.plans.pagerank import pagerank_job
 from corvane.plans.search import search_job
@@ -31,6 +32,8 @@ def parser() -> argparse.ArgumentParser:
     rank.add_argument("nodes", help="tab-separated text: id, title")
     rank.add_argument("--iterations", type=int, default=10)
     rank.add_argument("--unique-arcs", action="store_true", help="count repeated arcs once")
+    rank.add_argument("--damping", type=float, default=DAMPING, help="share of rank that travels over arcs")
+    rank.add_argument("--base", type=float, default=BASE_RANK, help="rank that every node keeps")
     rank.add_argument("--top", type=int, default=100)
     rank.add_argument("--all", help="folder for every node's rank")
     rank.add_argument("--out", default="pagerank", help="folder for the ranked list")
@@ -63,6 +66,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             options.unique_arcs,
             options.top,
             options.all,
+            options.damping,
+            options.base,
         )
     elif options.job == "throughput":
         write_tsv(throughput_report(spark, options.logs, options.target), options.out)

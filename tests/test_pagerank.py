@@ -125,3 +125,16 @@ def test_job_writes_titles_in_rank_order(spark, tmp_path):
     assert [title for title, _ in lines] == ["Delta", "Zeta", "f", "Gamma", "Beta, Inc", "Alpha"]
     nodes = spark.createDataFrame([("e", "Zeta")], "id string, title string")
     assert [r.title for r in best_pages(ranks, nodes, k=2).collect()] == ["d", "Zeta"]
+
+
+def test_damping_and_base_are_parameters(spark):
+    arcs = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c")]
+    frame = spark.createDataFrame(arcs, "src string, dst string")
+    ranks = dict.fromkeys("abcd", 1.0)
+    for _ in range(3):
+        got = dict.fromkeys("abcd", 0.0)
+        for src, dst in arcs:
+            got[dst] += ranks[src] / sum(s == src for s, _ in arcs)
+        ranks = {node: 0.5 + 0.5 * x for node, x in got.items()}
+    found = {r.id: r.rank for r in P.pagerank(frame, iterations=3, damping=0.5, base=0.5).collect()}
+    assert found == pytest.approx(ranks)

@@ -38,4 +38,4 @@ def test_partitions_follow_the_rows(spark, changed):
     changed("spark.sql.shuffle.partitions", str(100 * cores))
     assert S.partitions_for(spark, 5, 10) == cores
     assert S.partitions_for(spark, 50 * cores * 10 + 1, 10) == 50 * cores + 1
-    assert S.partitions_for(spark, 10**9, 10) == 100 * cores
+    assert S.partitions_for(spark, 10**9, 10) == 10**8
