@@ -8,8 +8,8 @@ then knows for every window whether a smaller document has it, and merges the re
 windows to maximal removal intervals. A passage that a third of all documents share
 is one entry per bucket, wherever it occurs.
 
-Windows are equal when their 64-bit hashes are; at 10 billion windows the chance of any
-wrong pair is about one in one (3e0 expected pairs), each costing at most 13 words.
+Windows are equal when their 64-bit hashes are. Among 10 billion different windows about three
+pairs are expected to share a hash by chance, each of which can cost 13 words.
 
 Nulls and edge cases: a null text has no word. Of equal ids neither row is the smaller, so
 repeated rows keep what they share only with each other. A null ``doc_id`` comes after all
