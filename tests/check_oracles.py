@@ -55,7 +55,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     database = connect(folder)
     failed = 0
-    for name in sys.argv[2:] or contract.queries():
+    for name in sys.argv[2:] or contract.oracle_sql():
         start = time.time()
         problem = compare(spark, database, name, folder)
         failed += bool(problem)
