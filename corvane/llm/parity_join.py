@@ -3,15 +3,19 @@
 Two sets of a and b shingles reach the Jaccard similarity ``PERCENT`` only if they differ in at
 most d = (a + b)(100 - PERCENT) / (100 + PERCENT) shingles. Every shingle flips one bit of a wide
 sketch, so the Hamming distance of two sketches is at most the number of shingles in which the
-sets differ. Sketches are cut into more than d segments; of two similar documents at least one
-segment is equal (pigeonhole). d depends on the size, so sketches are laid out per size band, and a
-document near the upper end of its band is laid out for the next one as well. A segment is sent as
-one number, the XOR of a random number per set bit. Segments in which no bit was set say nothing;
-enough segments are added that they are not needed, and a document with too many empty ones
-sends these too, so no similar pair is missed.
-
-Documents with the same set of shingles are one class throughout, so copies never make pairs. Equal
-segments are found by ranges of their numbers, in packed blocks. Then, round by round, each group of
+sets differ. Sketches are cut into m segments, some more than 3d; of two similar documents at
+least m - d segments are equal (pigeonhole). d depends on the size, so sketches are laid out per
+size band, and a document near the upper end of its band is laid out for the next one as well. A
+segment is one number, the XOR of a random number per set bit.
+
+All segments are counted, and with all documents putting their segments in the same order, rare
+ones first, the first d + 1 of one and of the other must have one in common, as only d of either
+can be missing in the other. So a document is found by these alone, and what a large group of
+documents shares is not looked at where they differ too much. Counts are found by ranges of the
+numbers, from buckets of bounded text that send each number once. Segments in which no bit was set
+come last. A count only orders, so it does not matter that copies in several buckets count each.
+
+Documents with the same set of shingles are one class throughout, so copies never make pairs. Then, round by round, each group of
 classes that share a segment is compared with a few of its members only, those found similar are
 merged to one component, and what is left of groups that still hold several components goes on,
 until every pair in different components has been compared. So a large group of near copies
@@ -27,7 +31,9 @@ columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,16 +41,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import texts
-from corvane.llm.exchange import shuffle_partitions, written
+from corvane.llm.exchange import bucketed, shuffle_partitions, written
 from corvane.llm.window_dedup import _part_of
 
 SHINGLE = 4
 PERCENT = 85
-BAND = 1.3
+BAND = 1.6
 # A group is compared with 1 of its members in the first round, later with up to so many.
 MOST_CENTRES = 64
 
+# The order of segments without a bit: behind all counts.
+EMPTY = 255
+
 SIGNED = "doc_id bigint, n_shingles bigint, class bigint"
+SENT = "part int, bucket int, segments binary, counts binary"
+COUNTED = "bucket int, part int, orders binary"
+CHOSEN = "part int, segments binary, classes binary, sizes binary"
 
 
 def shingle_sets(block: texts.Block, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -82,21 +94,34 @@ def _bands(largest: int) -> np.ndarray:
     return np.array(bounds + [max(bounds[-1] + 1, int(bounds[-1] * BAND))])
 
 
-def _segments(grams: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The segment numbers of each text's sketches, and each one's text."""
+@dataclass
+class Sketches:
+    """Segments of sketches. Sketch 2i is that of text i in its own band, 2i + 1 that in the next one, where it has one."""
+
+    numbers: np.ndarray
+    sketch: np.ndarray
+    filled: np.ndarray
+    needed: np.ndarray  # for each sketch, how many of its segments must be looked at
+
+
+def _sketches(grams: np.ndarray, first: np.ndarray, percent: int) -> Sketches:
+    """The sketches of texts ``i`` with the shingles ``grams[first[i]:first[i + 1]]``."""
     sizes = np.diff(first)
     bounds = _bands(int(sizes.max(initial=1)))
     band = np.searchsorted(bounds, sizes, "right") - 1
-    most_apart = 2 * (bounds[1:] - 1) * (100 - percent) // (100 + percent)
-    spare = 5 + most_apart // 12
-    of_band = np.where(most_apart > 0, most_apart + 1 + spare, 0)
-    numbers, owners = [], []
+    apart = lambda both: both * (100 - percent) // (100 + percent)
+    most_apart = apart(2 * (bounds[1:] - 1))
+    of_band = np.where(most_apart > 0, 3 * most_apart + 2, 0)
+    needed = np.zeros(2 * len(sizes), np.int64)
+    found = []
     placed = texts.mix(grams ^ np.uint64(0x5851F42D4C957F2D))
     bits = texts.mix(grams >> np.uint64(16))  # a random number for each bit of the sketch
     for ahead in (0, 1):
-        layout = band + ahead
-        takes = (sizes > 0) & (100 * sizes >= percent * bounds[np.minimum(layout, len(bounds) - 1)])
-        segments = np.where(takes, of_band[np.minimum(layout, len(of_band) - 1)], 0)
+        layout = np.minimum(band + ahead, len(of_band) - 1)
+        takes = (sizes > 0) & (layout == band + ahead) & (100 * sizes >= percent * bounds[layout])
+        segments = np.where(takes, of_band[layout], 0)
+        partner = np.maximum(sizes, np.minimum(bounds[layout + 1] - 1, 100 * sizes // percent))
+        needed[ahead::2] = np.where(segments > 0, apart(sizes + partner) + 1, 0)
         base = np.cumsum(segments) - segments
         per_gram = np.repeat(segments, sizes)
         used = per_gram > 0
@@ -110,13 +135,24 @@ def _segments(grams: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.nd
             words[slot[heads]] = np.bitwise_xor.reduceat(bits[used][order], heads)
             filled[slot[heads]] = True
         owner = np.repeat(np.arange(len(sizes)), segments)
-        empty = np.bincount(owner[~filled], minlength=len(sizes))
-        send = filled | (empty > spare[np.minimum(layout, len(spare) - 1)])[owner]
         within = (np.arange(total) - base[owner]).astype(np.uint64)
         place = texts.mix(layout[owner].astype(np.uint64) << np.uint64(40) | within)
-        numbers.append(texts.mix(words ^ place)[send])
-        owners.append(owner[send])
-    return np.concatenate(numbers), np.concatenate(owners)
+        found.append((texts.mix(words ^ place), 2 * owner + ahead, filled))
+    return Sketches(*(np.concatenate(x) for x in zip(*found, strict=True)), needed)
+
+
+def _chosen(sketches: Sketches, orders: np.ndarray) -> np.ndarray:
+    """The places of the segments that must be looked at and that more than one text may have.
+
+    ``orders`` is 0 for a segment that only one text has, and equal for equal segments.
+    """
+    alone = np.bincount(sketches.sketch[orders == 0], minlength=len(sketches.needed))
+    left = sketches.needed - alone
+    at = np.flatnonzero((orders > 0) & (left[sketches.sketch] > 0))
+    at = at[np.lexsort((sketches.numbers[at], orders[at], sketches.sketch[at]))]
+    ranked = sketches.sketch[at]
+    rank = np.arange(len(at)) - np.searchsorted(ranked, ranked)
+    return at[rank < left[ranked]]
 
 
 def _signer(size: int):
@@ -129,39 +165,101 @@ def _signer(size: int):
     return sign
 
 
-def _sketcher(size: int, percent: int, parts: int):
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block in texts.blocks(batches):
-            grams, first = shingle_sets(block, size)
-            classes = _classes(grams, first)
-            numbers, owner = _segments(grams, first, percent)
-            one_of_each = np.zeros(len(classes), bool)
-            one_of_each[np.unique(classes, return_index=True)[1]] = True
-            numbers, owner = numbers[one_of_each[owner]], owner[one_of_each[owner]]
-            order = np.argsort(numbers)
-            numbers, senders = numbers[order], classes[owner[order]].view(np.uint64)
-            cuts = np.searchsorted(_part_of(numbers, parts), np.arange(parts + 1, dtype=np.uint64))
-            rows = [(p, texts.pack_sorted(numbers[a:b]), senders[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["part", "segments", "classes"])
-
-    return sketch
+def _bucket_sketches(table: pa.Table, size: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, Sketches]]:
+    """Classes, sizes and sketches of a bucket, block by block; each class once."""
+    seen = np.zeros(0, np.int64)
+    for _, block in texts.blocks(iter(table.to_batches())):
+        grams, first = shingle_sets(block, size)
+        classes, sizes = _classes(grams, first), np.diff(first)
+        new = np.zeros(len(classes), bool)
+        new[np.unique(classes, return_index=True)[1]] = True
+        new &= ~np.isin(classes, seen) & (sizes > 0)
+        seen = np.concatenate([seen, classes[new]])
+        grams, sizes = grams[np.repeat(new, sizes)], sizes[new]
+        yield classes[new], sizes, _sketches(grams, np.concatenate([[0], np.cumsum(sizes)]), percent)
+
+
+def _cuts(numbers: np.ndarray, parts: int) -> np.ndarray:
+    """Where each part of ascending numbers begins."""
+    return np.searchsorted(_part_of(numbers, parts), np.arange(parts + 1, dtype=np.uint64))
+
+
+def _table(rows: list[tuple], schema: str) -> pa.Table:
+    fields = [f.split() for f in schema.split(", ")]
+    types = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    return pa.table([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
+
+
+def _sender(size: int, percent: int, parts: int):
+    def send(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
+        found = [s.numbers[s.filled] for _, _, s in _bucket_sketches(table, size, percent)]
+        numbers, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
+        cuts = _cuts(numbers, parts)
+        rows = [(p, bucket, texts.pack_sorted(numbers[a:b]), texts.pack(counts[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        return _table(rows, SENT)
+
+    return send
+
+
+def _count(table: pa.Table) -> pa.Table:
+    """For one range of segments: to each bucket the orders of those it sent, by their counts in all buckets."""
+    sent = [texts.unpack_sorted(x.as_py()) for x in table["segments"]]
+    counts = np.concatenate([texts.unpack(x.as_py()) for x in table["counts"]]).astype(np.int64)
+    ends = np.cumsum([len(x) for x in sent])
+    segments = np.concatenate(sent)
+    by = np.argsort(segments)
+    ranked = segments[by]
+    heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    total = np.add.reduceat(counts[by], heads)
+    of_total = np.minimum(np.ceil(4 * np.log2(total)), EMPTY - 1).astype(np.uint8)  # 0 for a single one
+    orders = np.empty(len(segments), np.uint8)
+    orders[by] = np.repeat(of_total, np.diff(np.append(heads, len(ranked))))
+    rows = [(b, p, zlib.compress(x.tobytes(), 1)) for b, p, x in zip(table["bucket"].to_pylist(), table["part"].to_pylist(), np.split(orders, ends[:-1]), strict=True)]
+    return _table(rows, COUNTED)
+
+
+def _chooser(size: int, percent: int, parts: int):
+    def choose(table: pa.Table, counted: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return _table([], CHOSEN)
+        sketched = list(_bucket_sketches(table, size, percent))
+        own = np.unique(np.concatenate([*(s.numbers[s.filled] for _, _, s in sketched), np.zeros(0, np.uint64)]))
+        answers = sorted(zip(counted["part"].to_pylist(), counted["orders"].to_pylist(), strict=True))
+        told = np.frombuffer(b"".join(zlib.decompress(x) for _, x in answers), np.uint8)
+        numbers, classes, sizes = [], [], []
+        for of_text, size_of, s in sketched:
+            orders = np.full(len(s.numbers), EMPTY, np.uint8)
+            orders[s.filled] = told[np.searchsorted(own, s.numbers[s.filled])]
+            at = _chosen(s, orders)
+            numbers.append(s.numbers[at])
+            classes.append(of_text[s.sketch[at] // 2])
+            sizes.append(size_of[s.sketch[at] // 2])
+        numbers, classes, sizes = np.concatenate(numbers), np.concatenate(classes), np.concatenate(sizes).astype(np.int64)
+        order = np.argsort(numbers)
+        numbers, classes, sizes = numbers[order], classes[order], sizes[order]
+        cuts = _cuts(numbers, parts)
+        rows = [(p, texts.pack_sorted(numbers[a:b]), classes[a:b].tobytes(), texts.pack(sizes[a:b])) for p, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+        return _table(rows, CHOSEN)
+
+    return choose
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """For one range of segments: those of two or more classes, with the classes."""
+    """For one range of segments: those of two or more classes, with the classes and their sizes."""
     segments = np.concatenate([texts.unpack_sorted(x.as_py()) for x in table["segments"]])
     classes = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table["classes"]])
+    sizes = np.concatenate([texts.unpack(x.as_py()) for x in table["sizes"]])
     several, _ = texts.repeated(segments)
-    segments, classes = segments[several], classes[several]
+    segments, classes, sizes = segments[several], classes[several], sizes[several]
     order = np.lexsort((classes, segments))
-    segments, classes = segments[order], classes[order]
+    segments, classes, sizes = segments[order], classes[order], sizes[order]
     new = np.ones(len(segments), bool)
     new[1:] = (segments[1:] != segments[:-1]) | (classes[1:] != classes[:-1])
-    segments, classes = segments[new], classes[new]
+    segments, classes, sizes = segments[new], classes[new], sizes[new]
     several, _ = texts.repeated(segments)
-    return pa.table([segments[several].view(np.int64), classes[several]], names=["segment", "class"])
+    return pa.table([segments[several].view(np.int64), classes[several], sizes[several].view(np.int64)], names=["segment", "class", "size"])
 
 
 def _set_maker(size: int):
@@ -218,27 +316,27 @@ def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``(class, component)`` of the classes that are similar to another one.
 
-    ``groups (segment, class)`` holds all pairs that may be similar, ``sets (class, grams)`` their shingles.
+    ``groups (segment, class, size)`` holds all pairs that may be similar, ``sets (class, grams)`` their shingles.
     """
     known = spark.createDataFrame([], "class bigint, component bigint")
     links = tried = spark.createDataFrame([], "a bigint, b bigint")
     centres = 1
     while True:
-        placed = groups.join(known, "class", "left").select("segment", "class", F.coalesce("component", "class").alias("component"))
+        placed = groups.join(known, "class", "left").select("segment", "class", "size", F.coalesce("component", "class").alias("component"))
         mixed = placed.groupBy("segment").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         placed = written(placed.join(mixed.select("segment"), "segment", "left_semi"), "groups")
         if placed.isEmpty():
             return known
         deal = F.pmod(F.xxhash64("class", F.lit(centres)), F.lit(centres))
-        chosen = placed.groupBy("segment", deal.alias("deal")).agg(F.min(F.struct("class", "component")).alias("c"))
-        chosen = written(chosen.selectExpr("segment", "c.class as centre", "c.component as of"), "centres")
-        pairs = placed.join(chosen, "segment").where("component != of")
+        chosen = placed.groupBy("segment", deal.alias("deal")).agg(F.min(F.struct("class", "component", "size")).alias("c"))
+        chosen = written(chosen.selectExpr("segment", "c.class as centre", "c.component as of", "c.size as centre_size"), "centres")
+        pairs = placed.join(chosen, "segment").where(f"component != of and 100 * least(size, centre_size) >= {percent} * greatest(size, centre_size)")
         pairs = pairs.selectExpr("least(class, centre) as a", "greatest(class, centre) as b").distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
         similar = written(_compared(sets, pairs, percent), "similar")
         # What a centre has been compared with all others, it need not be again.
-        groups = placed.join(chosen.selectExpr("segment", "centre as class"), ["segment", "class"], "left_anti").select("segment", "class")
+        groups = placed.join(chosen.selectExpr("segment", "centre as class"), ["segment", "class"], "left_anti").select("segment", "class", "size")
         if not similar.isEmpty():
             links = written(links.unionByName(similar), "all-links")
             known = components(links).withColumnRenamed("id", "class")
@@ -254,8 +352,11 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     rows = documents.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
     signed = written(rows.mapInArrow(_signer(size), SIGNED), "signed")
     parts = shuffle_partitions(spark)
-    sent = rows.select("text").mapInArrow(_sketcher(size, percent, parts), "part int, segments binary, classes binary")
-    groups = written(sent.groupBy("part").applyInArrow(_shared, "segment bigint, class bigint"), "shared-segments")
+    by_bucket = bucketed(documents)
+    sent = by_bucket.groupBy("bucket").applyInArrow(_sender(size, percent, parts), SENT)
+    counted = sent.groupBy("part").applyInArrow(_count, COUNTED)
+    chosen = by_bucket.groupBy("bucket").cogroup(counted.groupBy("bucket")).applyInArrow(_chooser(size, percent, parts), CHOSEN)
+    groups = written(chosen.groupBy("part").applyInArrow(_shared, "segment bigint, class bigint, size bigint"), "shared-segments")
 
     classes = signed.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"))
     needed = groups.select("class").distinct()

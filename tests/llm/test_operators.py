@@ -114,8 +114,13 @@ def test_no_similar_pair_is_missed_by_segments():
             extra = rng.integers(1, 1 << 63, int(size * 0.15 / 0.85)).astype(np.uint64)
             cut = rng.integers(0, len(extra) + 1)
             a, b = (np.sort(np.concatenate([common, e])) for e in (extra[:cut], extra[cut:]))
-            numbers, owner = parity_join._segments(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 85)
-            assert set(numbers[owner == 0]) & set(numbers[owner == 1])
+            found = parity_join._sketches(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), 85)
+            order = np.where(found.filled, 1 + found.numbers % np.uint64(3), parity_join.EMPTY).astype(np.uint8)
+            shared, _ = parity_join.texts.repeated(found.numbers)
+            order[found.filled & ~shared] = 0  # as counted over the two
+            at = parity_join._chosen(found, order)
+            of_a = found.sketch[at] < 2
+            assert set(found.numbers[at][of_a]) & set(found.numbers[at][~of_a])
 
 
 def test_phrases(spark, docs):
