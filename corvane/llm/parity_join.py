@@ -34,6 +34,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -71,8 +72,12 @@ def shingle_sets(block: texts.Block, size: int = SHINGLE) -> tuple[np.ndarray, n
     short = np.flatnonzero((counts > 0) & (counts < size))
     grams = np.concatenate([grams, texts.span_hashes(hashes, words.first[short], words.first[short + 1])])
     owner = np.concatenate([words.owners()[at], short])
-    order = np.lexsort((grams, owner))
-    grams, owner = grams[order], owner[order]
+    if len(short):
+        order = np.argsort(owner, kind="stable")
+        grams, owner = grams[order], owner[order]
+    bounds = np.searchsorted(owner, np.arange(len(block) + 1))
+    for a, b in pairwise(bounds):  # many short sorts take less than one of all
+        grams[a:b].sort()
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
     grams, owner = grams[new], owner[new]
@@ -334,13 +339,13 @@ def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, pe
         pairs = pairs.selectExpr("least(class, centre) as a", "greatest(class, centre) as b").distinct()
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionByName(pairs)
-        similar = written(_compared(sets, pairs, percent), "similar")
+        similar = pairs if pairs.isEmpty() else written(_compared(sets, pairs, percent), "similar")
         # What a centre has been compared with all others, it need not be again.
         groups = placed.join(chosen.selectExpr("segment", "centre as class"), ["segment", "class"], "left_anti").select("segment", "class", "size")
         if not similar.isEmpty():
             links = written(links.unionByName(similar), "all-links")
             known = components(links).withColumnRenamed("id", "class")
-        centres = min(4 * centres, MOST_CENTRES)
+        centres = min(8 * centres, MOST_CENTRES)
 
 
 def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
