@@ -7,11 +7,12 @@ The node set holds the mapping's ids and both ends of every arc.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.links import link_targets
 from corvane.operators.lookup import attach
+from corvane.session import prepare_checkpoints
 
 # Entries in one stored list. A longer list becomes several rows of the same node.
 MAX_LIST = 10_000
@@ -64,70 +65,81 @@ def dangling_nodes(links: DataFrame, nodes: DataFrame | None = None) -> DataFram
     return node_table(links, nodes).where("out_degree = 0").select("id")
 
 
-def _lists(links: DataFrame, own: str, other: str, size: str, name: str, max_list: int) -> DataFrame:
-    """The ``other`` ends per ``own`` end, sorted, in lists of about ``max_list``.
+def _places(links: DataFrame, own: str, other: str) -> DataFrame:
+    """``(id, entry, copies, first)``: where in the sorted list of ``id`` the copies of ``entry`` begin, from 0.
 
-    ``size`` is a column with the node's number of arcs on this side. A node within
-    the limit has one list, ``part`` 0. A larger node's entries are dealt to
-    several parts by hash; copies of one arc beyond the limit are cut up first, so
-    not even these must share a part.
+    Links are cut by range of (id, entry) into slices of equal size, so a node with very many
+    has several, in order. Places are counted within each slice, and the slices of one node add
+    up. Slices come from a sample, so they are checkpointed: all readers must see the same ones.
     """
-    pieces = links.selectExpr(
-        f"{own} as id",
-        f"{other} as entry",
-        f"ceil({size} / {max_list}) as parts",
-        "copies",
-        f"explode(sequence(0L, (copies - 1) div {max_list})) as piece",
+    prepare_checkpoints(links.sparkSession)
+    rows = links.selectExpr(f"{own} as id", f"{other} as entry", "copies").repartitionByRange("id", "entry")
+    sliced = rows.withColumn("slice", F.spark_partition_id()).checkpoint()
+    sizes = sliced.groupBy("id", "slice").agg(F.sum("copies").alias("size"))
+    earlier = Window.partitionBy("id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    later = sizes.select("id", "slice", F.sum("size").over(earlier).alias("skipped")).where("skipped is not null")
+    before = Window.partitionBy("id", "slice").orderBy("entry").rowsBetween(Window.unboundedPreceding, -1)
+    counted = sliced.withColumn("within", F.sum("copies").over(before)).join(later, ["id", "slice"], "left")
+    return counted.selectExpr("id", "entry", "copies", "coalesce(skipped, 0L) + coalesce(within, 0L) as first")
+
+
+def _lists(links: DataFrame, own: str, other: str, name: str, max_list: int) -> DataFrame:
+    """The ``other`` ends per ``own`` end in sorted order, cut into runs of ``max_list``.
+
+    ``part`` p holds the entries at the places p * max_list and following of the whole
+    sorted list, so the parts one after the other are that list, and only the last may be shorter.
+    """
+    cut = _places(links, own, other).selectExpr(
+        "*", f"explode(sequence(first div {max_list}, (first + copies - 1) div {max_list})) as part"
     )
-    dealt = pieces.selectExpr(
+    dealt = cut.selectExpr(
         "id",
-        "cast(pmod(xxhash64(entry, piece), parts) as int) as part",
-        f"array_repeat(entry, cast(least({max_list}, copies - piece * {max_list}) as int)) as entries",
+        "cast(part as int) as part",
+        f"""array_repeat(entry, cast(least(first + copies, (part + 1) * {max_list})
+            - greatest(first, part * {max_list}) as int)) as entries""",
     )
     grouped = dealt.groupBy("id", "part").agg(F.expr("collect_list(entries) as entries"))
     return grouped.selectExpr("id", "part", f"sort_array(flatten(entries)) as {name}")
 
 
-def adjacency(links: DataFrame, max_list: int = MAX_LIST, **hot) -> DataFrame:
+def adjacency(links: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """``(id, part, neighbors)`` for every node with outgoing arcs."""
-    sizes = node_table(links).where("out_links > 0").selectExpr("id as src", "out_degree", "out_links")
-    sized = attach(links, sizes, "src", "out_links", **hot)
-    return _lists(sized, "src", "dst", "out_degree", "neighbors", max_list)
-
-
-def _incoming(links: DataFrame, **hot) -> DataFrame:
-    sizes = node_table(links).where("in_links > 0")
-    sizes = sizes.selectExpr("id as dst", "out_degree", "in_degree", "in_links")
-    return attach(links, sizes, "dst", "in_links", **hot)
+    return _lists(links, "src", "dst", "neighbors", max_list)
 
 
-def reverse_adjacency(links: DataFrame, max_list: int = MAX_LIST, **hot) -> DataFrame:
+def reverse_adjacency(links: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """``(id, part, linked_from)`` for every node with incoming arcs."""
-    return _lists(_incoming(links, **hot), "dst", "src", "in_degree", "linked_from", max_list)
+    return _lists(links, "dst", "src", "linked_from", max_list)
 
 
 def dangling_with_inlinks(links: DataFrame, max_list: int = MAX_LIST, **hot) -> DataFrame:
     """``(id, part, linked_from)`` for nodes that are linked to but link nowhere."""
-    leading_nowhere = _incoming(links, **hot).where("out_degree = 0")
-    return _lists(leading_nowhere, "dst", "src", "in_degree", "linked_from", max_list)
+    sizes = node_table(links).where("in_links > 0").selectExpr("id as dst", "out_degree", "in_links")
+    leading_nowhere = attach(links, sizes, "dst", "in_links", **hot).where("out_degree = 0")
+    return _lists(leading_nowhere, "dst", "src", "linked_from", max_list)
 
 
 def adjacency_with_dangling(
-    links: DataFrame, nodes: DataFrame | None = None, max_list: int = MAX_LIST, **hot
+    links: DataFrame, nodes: DataFrame | None = None, max_list: int = MAX_LIST
 ) -> DataFrame:
     """``adjacency`` and, with null for their list, the dangling nodes."""
     dangling = dangling_nodes(links, nodes).selectExpr(
         "id", "0 as part", "cast(null as array<string>) as neighbors"
     )
-    return adjacency(links, max_list, **hot).unionByName(dangling)
+    return adjacency(links, max_list).unionByName(dangling)
 
 
-def both_lists(
-    links: DataFrame, nodes: DataFrame | None = None, max_list: int = MAX_LIST, **hot
-) -> DataFrame:
-    """``(id, part, neighbors, linked_from)`` for every node; null for a missing list.
+def both_lists(links: DataFrame, nodes: DataFrame | None = None, max_list: int = MAX_LIST) -> DataFrame:
+    """``(id, part, out_degree, in_degree, neighbors, linked_from)`` for every node.
 
-    Every node keeps its row, also one that nothing links to.
+    A list is null in rows beyond its last part; a degree of 0 tells that there is none at all.
+    A node without any arc has one row.
     """
-    outgoing = adjacency_with_dangling(links, nodes, max_list, **hot)
-    return outgoing.join(reverse_adjacency(links, max_list, **hot), ["id", "part"], "full_outer")
+    every = degrees(links, nodes)
+    listed = adjacency(links, max_list).join(reverse_adjacency(links, max_list), ["id", "part"], "full_outer")
+    linked = listed.join(every, "id").select("id", "part", "out_degree", "in_degree", "neighbors", "linked_from")
+    no_list = "cast(null as array<string>)"
+    alone = every.where("out_degree = 0 and in_degree = 0").selectExpr(
+        "id", "0 as part", "out_degree", "in_degree", f"{no_list} as neighbors", f"{no_list} as linked_from"
+    )
+    return linked.unionByName(alone)

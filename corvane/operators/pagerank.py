@@ -17,9 +17,7 @@ from corvane.operators.graph import link_counts, node_table
 from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
 from corvane.session import partitions_for, planned_ahead, prepare_checkpoints
 
-# Both degree columns are read as everywhere else, so that one plan's readers of
-# the node table can share one shuffle.
-MASS = "coalesce(sum(case when out_degree + out_links = 0 then rank end), 0D)"
+MASS = "coalesce(sum(case when out_degree = 0 then rank end), 0D)"
 # Different arcs per partition of their layout, some tens of megabytes.
 LINKS_PER_PARTITION = 500_000
 
@@ -31,6 +29,13 @@ def initial_state(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame
     return node_table(links, nodes).withColumn("rank", F.lit(FIRST_RANK)).select(*STATE)
 
 
+def laid_down(links: DataFrame, nodes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The links and the nodes' first state, each computed once and checkpointed for a plan that reads them often."""
+    prepare_checkpoints(links.sparkSession)
+    links = links.checkpoint()
+    return links, initial_state(links, nodes).checkpoint()
+
+
 def initial_ranks(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     return initial_state(links, nodes).select("id", "rank")
 

@@ -48,6 +48,28 @@ ins AS (SELECT dst AS id, count(*) AS k, list_sort(list(src)) AS linked_from FRO
 dangling AS (SELECT id FROM nodes WHERE id NOT IN (SELECT src FROM arcs))
 """
 
+# A small limit, so that lists of the sample tables have several parts.
+SHORT_LIST = 7
+
+
+def _cut(max_list: int) -> str:
+    """The sorted lists cut by position: ``out_parts`` and ``in_parts``."""
+    runs = f"CAST((row_number() OVER (PARTITION BY {{0}} ORDER BY {{1}}) - 1) // {max_list} AS INTEGER) AS part"
+    return f""",
+out_parts AS (SELECT id, part, list_sort(list(dst)) AS neighbors
+  FROM (SELECT src AS id, dst, {runs.format("src", "dst")} FROM arcs) GROUP BY ALL),
+in_parts AS (SELECT id, part, list_sort(list(src)) AS linked_from
+  FROM (SELECT dst AS id, src, {runs.format("dst", "src")} FROM arcs) GROUP BY ALL)
+"""
+
+
+LISTS = NODES.rstrip() + _cut(10_000)
+SHORT_LISTS = NODES.rstrip() + _cut(SHORT_LIST)
+BOTH = """SELECT id, coalesce(part, 0) AS part, coalesce(outs.k, 0) AS out_degree, coalesce(ins.k, 0) AS in_degree,
+  l.neighbors, l.linked_from
+FROM nodes LEFT JOIN (SELECT * FROM out_parts FULL JOIN in_parts USING (id, part)) l USING (id)
+LEFT JOIN outs USING (id) LEFT JOIN ins USING (id)"""
+
 
 def _iterated(graph: str, iterations: int) -> str:
     """The graph and ``iterations`` rounds of ranks, r0 to the last."""
@@ -79,7 +101,7 @@ FROM nodes LEFT JOIN outs USING (id) LEFT JOIN ins USING (id)"""
 
 
 def _dangling_with_inlinks(graph: str) -> str:
-    return graph + NODES + "SELECT id, 0 AS part, linked_from FROM ins SEMI JOIN dangling USING (id)"
+    return graph + LISTS + "SELECT id, part, linked_from FROM in_parts SEMI JOIN dangling USING (id)"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -97,17 +119,18 @@ def oracle_sql() -> dict[str, str]:
         + f"""SELECT title, round(tf * ln(n / df), 6) AS tfidf {SCORED} WHERE word = '{TERM}'
 ORDER BY tf DESC, title LIMIT 100""",
         "link_graph": PAGES + " SELECT src, dst FROM arcs",
-        "adjacency": TRADE + NODES + "SELECT id, 0 AS part, neighbors FROM outs",
-        "reverse_adjacency": TRADE + NODES + "SELECT id, 0 AS part, linked_from FROM ins",
+        "adjacency": TRADE + LISTS + "SELECT id, part, neighbors FROM out_parts",
+        "adjacency_parts": TRADE + SHORT_LISTS + "SELECT id, part, neighbors FROM out_parts",
+        "reverse_adjacency": TRADE + LISTS + "SELECT id, part, linked_from FROM in_parts",
         "degrees": _degrees(TRADE),
         "degrees_pages": _degrees(PAGES),
         "dangling_nodes": TRADE + NODES + "SELECT id FROM dangling",
         "dangling_with_inlinks": _dangling_with_inlinks(TRADE),
         "dangling_with_inlinks_pages": _dangling_with_inlinks(PAGES),
-        "adjacency_with_dangling": TRADE + NODES
-        + "SELECT id, 0 AS part, neighbors FROM outs UNION ALL SELECT id, 0, NULL FROM dangling",
-        "adjacency_both": TRADE + NODES + """SELECT id, 0 AS part, neighbors, linked_from
-FROM nodes LEFT JOIN outs USING (id) LEFT JOIN ins USING (id)""",
+        "adjacency_with_dangling": TRADE + LISTS
+        + "SELECT id, part, neighbors FROM out_parts UNION ALL SELECT id, 0, NULL FROM dangling",
+        "adjacency_both": TRADE + LISTS + BOTH,
+        "adjacency_both_parts": TRADE + SHORT_LISTS + BOTH,
         "initial_ranks": TRADE + NODES + "SELECT id, CAST(1 AS DOUBLE) AS rank FROM nodes",
         "rank_contributions": TRADE + NODES + """SELECT dst AS id, round(sum(1 / k), 6) AS contribution
 FROM arcs JOIN outs ON src = outs.id GROUP BY dst""",

@@ -55,32 +55,41 @@ def test_every_node_has_degrees(spark):
         ("b", 0, ["b", "out, of map"]),
         ("out, of map", 0, None),
     ]
-    assert rows(G.both_lists(links, nodes), "id", "part", "neighbors", "linked_from") == [
-        ("a", 0, ["b", "b"], None),
-        ("alone", 0, None, None),
-        ("b", 0, ["b", "out, of map"], ["a", "a", "b"]),
-        ("out, of map", 0, None, ["b"]),
+    assert rows(G.both_lists(links, nodes)) == [
+        ("a", 0, 2, 0, ["b", "b"], None),
+        ("alone", 0, 0, 0, None, None),
+        ("b", 0, 2, 3, ["b", "out, of map"], ["a", "a", "b"]),
+        ("out, of map", 0, 0, 1, None, ["b"]),
+    ]
+    # Beyond a list's last part its column is null, and the degree tells that it has others.
+    assert rows(G.both_lists(links, nodes, max_list=2))[2:4] == [
+        ("b", 0, 2, 3, ["b", "out, of map"], ["a", "a"]),
+        ("b", 1, 2, 3, None, ["b"]),
     ]
     assert rows(G.degrees(links_of(spark, arcs, unique=True), nodes))[0] == ("a", 1, 0)
 
 
 @pytest.mark.parametrize("hot", [{}, SOME_KEYS_HOT, EVERY_KEY_HOT])
-def test_long_lists_come_in_parts_and_whole(spark, hot):
+def test_dangling_nodes_lists_do_not_depend_on_hot_keys(spark, hot):
+    arcs = [(f"n{i:03}", "sink") for i in range(70)] + [("n001", "n002"), ("n001", "sink")]
+    expected = sorted(src for src, dst in arcs if dst == "sink")
+    found = rows(G.dangling_with_inlinks(links_of(spark, arcs), max_list=30, **hot))
+    assert found == [("sink", p, expected[30 * p : 30 * p + 30]) for p in range(3)]
+
+
+def test_long_lists_come_in_parts_and_whole(spark):
     random.seed(5)
     arcs = [("hub", f"n{i % 200}") for i in range(450)] + [("twins", "same")] * 95
     arcs += [(f"n{random.randrange(60)}", f"n{random.randrange(60)}") for _ in range(300)]
     expected = defaultdict(list)
     for src, dst in arcs:
         expected[src].append(dst)
-    lists = G.adjacency(links_of(spark, arcs), max_list=30, **hot).collect()
-    found = defaultdict(list)
-    for r in lists:
-        assert r.neighbors == sorted(r.neighbors)
-        found[r.id] += r.neighbors
-    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in expected.items()}
-    assert len({(r.id, r.part) for r in lists}) == len(lists)
-    assert all(r.part == 0 for r in lists if len(expected[r.id]) <= 30)
-    assert max(len(r.neighbors) for r in lists) <= 3 * 30
+    found = rows(G.adjacency(links_of(spark, arcs), max_list=30))
+    assert sorted(found) == sorted(
+        (src, p, sorted(dsts)[30 * p : 30 * p + 30])
+        for src, dsts in expected.items()
+        for p in range(-(-len(dsts) // 30))
+    )
 
 
 def test_reading_arcs_and_nodes(spark, tmp_path):
