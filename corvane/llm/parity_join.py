@@ -50,6 +50,8 @@ PERCENT = 85
 BAND = 1.6
 # A group is compared with 1 of its members in the first round, later with up to so many.
 MOST_CENTRES = 64
+# 64-bit words of the short sketch that a pair is judged by before its sets are read.
+SKETCH_WORDS = 8
 
 # The order of segments without a bit: behind all counts.
 EMPTY = 255
@@ -267,12 +269,24 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table([segments[several].view(np.int64), classes[several], sizes[several].view(np.int64)], names=["segment", "class", "size"])
 
 
+def _short_sketches(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The parity of each of ``64 * SKETCH_WORDS`` bits, for each text in so many numbers."""
+    bits = texts.mix(grams ^ np.uint64(0x9FB21C651E98DF25)) % np.uint64(64 * SKETCH_WORDS)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    words = np.zeros((len(first) - 1) * SKETCH_WORDS, np.uint64)
+    np.bitwise_xor.at(words, owner * SKETCH_WORDS + (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
+    return words.view(np.int64)
+
+
 def _set_maker(size: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, block in texts.blocks(batches):
             grams, first = shingle_sets(block, size)
             sets = [texts.pack_sorted(grams[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(_classes(grams, first)), pa.array(sets, pa.binary())], ["class", "grams"])
+            ends = pa.array(np.arange(len(first)) * SKETCH_WORDS, pa.int32())
+            sketches = pa.ListArray.from_arrays(ends, pa.array(_short_sketches(grams, first)))
+            columns = [pa.array(_classes(grams, first)), pa.array(np.diff(first)), sketches, pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["class", "n", "sketch", "grams"])
 
     return make
 
@@ -313,7 +327,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes that are similar."""
+    """The pairs ``(a, b)`` of classes that are similar.
+
+    Short sketches go first: where they differ in more bits than similar sets could, the sets need not be moved.
+    """
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.selectExpr(f"class as {end}", f"n as n_{end}", f"sketch as sketch_{end}"), end)
+    bits = " + ".join(f"bit_count(sketch_a[{i}] ^ sketch_b[{i}])" for i in range(SKETCH_WORDS))
+    pairs = pairs.where(f"{bits} <= ((n_a + n_b) * {100 - percent}) div {100 + percent}").select("a", "b")
     one = pairs.join(sets.selectExpr("class as a", "grams as grams_a"), "a")
     return one.join(sets.selectExpr("class as b", "grams as grams_b"), "b").mapInArrow(_verifier(percent), "a bigint, b bigint")
 
@@ -321,7 +342,8 @@ def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``(class, component)`` of the classes that are similar to another one.
 
-    ``groups (segment, class, size)`` holds all pairs that may be similar, ``sets (class, grams)`` their shingles.
+    ``groups (segment, class, size)`` holds all pairs that may be similar, ``sets (class, n, sketch, grams)`` their
+    shingles, how many these are, and short sketches of them.
     """
     known = spark.createDataFrame([], "class bigint, component bigint")
     links = tried = spark.createDataFrame([], "a bigint, b bigint")
@@ -369,8 +391,9 @@ def similar_documents(documents: DataFrame, size: int = SHINGLE, percent: int =
     ids = classes.join(needed, "class").select("first_id").where("first_id is not null").distinct()
     read = rows.join(ids, rows.doc_id == ids.first_id, "left_semi").select("text")
     read = read.unionByName(rows.where("doc_id is null").select("text"))
-    sets = read.mapInArrow(_set_maker(size), "class bigint, grams binary").join(needed, "class", "left_semi")
-    sets = written(sets.groupBy("class").agg(F.first("grams").alias("grams")), "sets")
+    sets = read.mapInArrow(_set_maker(size), "class bigint, n bigint, sketch array<bigint>, grams binary")
+    firsts = [F.first(c).alias(c) for c in ("n", "sketch", "grams")]
+    sets = written(sets.join(needed, "class", "left_semi").groupBy("class").agg(*firsts), "sets")
 
     found = class_components(spark, groups, sets, percent)
     named = classes.join(found, "class", "left").select("class", "first_id", F.coalesce("component", "class").alias("component"))
