@@ -339,6 +339,17 @@ def _compared(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return one.join(sets.selectExpr("class as b", "grams as grams_b"), "b").mapInArrow(_verifier(percent), "a bigint, b bigint")
 
 
+def _merged(known: DataFrame, similar: DataFrame) -> DataFrame:
+    """``known (class, component)`` after the links ``similar (a, b)``: only components are linked anew, not all their classes."""
+    ends = similar.selectExpr("explode(array(a, b)) as class").distinct()
+    known = known.join(ends, "class", "full_outer").select("class", F.coalesce("component", "class").alias("component"))
+    for end in ("a", "b"):
+        similar = similar.join(known.withColumnsRenamed({"class": end, "component": f"of_{end}"}), end)
+    joined = components(similar.selectExpr("of_a as a", "of_b as b").where("a != b").distinct())
+    above = joined.selectExpr("id as component", "component as above")
+    return known.join(above, "component", "left").select("class", F.coalesce("above", "component").alias("component"))
+
+
 def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``(class, component)`` of the classes that are similar to another one.
 
@@ -346,7 +357,7 @@ def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, pe
     shingles, how many these are, and short sketches of them.
     """
     known = spark.createDataFrame([], "class bigint, component bigint")
-    links = tried = spark.createDataFrame([], "a bigint, b bigint")
+    tried = spark.createDataFrame([], "a bigint, b bigint")
     centres = 1
     while True:
         placed = groups.join(known, "class", "left").select("segment", "class", "size", F.coalesce("component", "class").alias("component"))
@@ -365,8 +376,7 @@ def class_components(spark: SparkSession, groups: DataFrame, sets: DataFrame, pe
         # What a centre has been compared with all others, it need not be again.
         groups = placed.join(chosen.selectExpr("segment", "centre as class"), ["segment", "class"], "left_anti").select("segment", "class", "size")
         if not similar.isEmpty():
-            links = written(links.unionByName(similar), "all-links")
-            known = components(links).withColumnRenamed("id", "class")
+            known = written(_merged(known, similar), "known")
         centres = min(8 * centres, MOST_CENTRES)
 
 
