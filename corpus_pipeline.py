@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import packing, parity_join, phrases, repetition, secrets
-from corvane.llm.exchange import written
+from corvane.llm.exchange import numbered, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +31,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth or more are passages of the benchmark go."""
-    judged = phrases.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = judged.where("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, docs["doc_id"].cast("bigint").eqNullSafe(hit["_hit"]), "left_anti")
+    """Rows of which a twentieth or more are passages of the benchmark go, whatever other rows of their id hold."""
+    rows = numbered(docs, "_row")
+    judged = phrases.decontaminate(rows.selectExpr("_row as doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    hit = judged.where("contaminated").selectExpr("doc_id as _row")
+    return rows.join(hit, "_row", "left_anti").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,6 +23,11 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def numbered(frame: DataFrame, column: str) -> DataFrame:
+    """The frame with a unique number per row in ``column``, written once so that every read finds the same numbers."""
+    return written(frame.withColumn(column, F.monotonically_increasing_id()), "numbered")
+
+
 def bucketed(documents: DataFrame, chars: int = BUCKET_CHARS) -> DataFrame:
     """``(bucket, doc_id, text)``, dealt by a hash of the id into buckets of about ``chars`` characters.
 
