@@ -19,15 +19,19 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one of the smallest id stays; a repeated row of one id once.
+    """Of each group of similar rows one stays: that of the smallest id, rows without one last; of equal ids the one of the smallest text hash.
 
-    Rows without an id are not told apart and all stay.
+    Only rows proven similar go, whatever their ids. Texts without words are not compared: of
+    those the repeated rows of one id go, and all without an id stay.
     """
-    found = parity_join.similar_documents(docs)
-    stay = found.where("component_id = doc_id").select(F.col("doc_id").alias("_stays")).distinct()
-    named = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    kept = named.join(stay, named["doc_id"].cast("bigint") == stay["_stays"], "left_semi")
-    return kept.unionByName(docs.where("doc_id is null"))
+    rows = numbered(docs, "_row")
+    found = parity_join.similar_documents(rows.selectExpr("_row as doc_id", "text"))
+    found = found.selectExpr("doc_id as _row", "if(n_shingles > 0, component_id, null) as component")
+    named = rows.select("_row", F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("text_hash"))
+    alone = F.when(F.col("component").isNull(), F.struct("id", "text_hash", F.when(F.col("id").isNull(), F.col("_row"))))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "text_hash", "_row")).alias("first")
+    stay = found.join(named, "_row").groupBy("component", alone.alias("alone")).agg(first).select("first._row")
+    return rows.join(stay, "_row", "left_semi").select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

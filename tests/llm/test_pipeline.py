@@ -26,3 +26,14 @@ def test_only_the_contaminated_row_goes(spark, rng, tmp_path):
     kept = corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns
     assert texts_of(kept) == texts_of(spark.createDataFrame(clean, SCHEMA))
+
+
+def test_one_row_of_each_group_stays(spark, rng):
+    shared, other, lone, copied, unnamed = (sentence(rng, 80) for _ in range(5))
+    rows = [
+        (1, shared), (1, other), (5, other),  # one id with two texts, of which a larger id has a copy
+        (7, copied), (None, copied), (None, unnamed), (None, unnamed), (None, lone), (None, ""), (None, ""), (8, None), (8, None),
+    ]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([(*r, "s") for r in rows], SCHEMA), "")
+    stays = [(1, shared), (1, other), (7, copied), (None, unnamed), (None, lone), (None, ""), (None, ""), (8, None)]
+    assert texts_of(kept) == texts_of(spark.createDataFrame([(*r, "s") for r in stays], SCHEMA))
