@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from corvane.llm import packing, parity_join, phrases, repetition, secrets
 from corvane.llm.exchange import numbered, written
 
+# Near copies: five words and 0.8; op9_parity has values of its own.
+SHINGLE = 5
+PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that repeat themselves or are too short go."""
@@ -19,13 +23,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar rows one stays: that of the smallest id, rows without one last; of equal ids the one of the smallest text hash.
+    """Of each group of rows of ``PERCENT`` similarity one stays: that of the smallest id, rows without one last; of equal ids the one of the smallest text hash.
 
     Only rows proven similar go, whatever their ids. Texts without words are not compared: of
     those the repeated rows of one id go, and all without an id stay.
     """
     rows = numbered(docs, "_row")
-    found = parity_join.similar_documents(rows.selectExpr("_row as doc_id", "text"))
+    found = parity_join.similar_documents(rows.selectExpr("_row as doc_id", "text"), size=SHINGLE, percent=PERCENT)
     found = found.selectExpr("doc_id as _row", "if(n_shingles > 0, component_id, null) as component")
     named = rows.select("_row", F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("text_hash"))
     alone = F.when(F.col("component").isNull(), F.struct("id", "text_hash", F.when(F.col("id").isNull(), F.col("_row"))))

@@ -37,3 +37,12 @@ def test_one_row_of_each_group_stays(spark, rng):
     kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([(*r, "s") for r in rows], SCHEMA), "")
     stays = [(1, shared), (1, other), (7, copied), (None, unnamed), (None, lone), (None, ""), (None, ""), (8, None)]
     assert texts_of(kept) == texts_of(spark.createDataFrame([(*r, "s") for r in stays], SCHEMA))
+
+
+def test_copies_of_four_fifths_go(spark, rng):
+    text = sentence(rng, 500, 10**6)
+    rows = [(1, text, "s"), (2, f"{text} {sentence(rng, 100, 10**6)}", "s"), (3, f"{text} {sentence(rng, 150, 10**6)}", "s")]  # 0.83 and 0.77 of the first
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([rows[0], rows[1]], SCHEMA), "")
+    assert [r.doc_id for r in kept.collect()] == [1]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame([rows[0], rows[2]], SCHEMA), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
