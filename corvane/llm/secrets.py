@@ -24,7 +24,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.exchange import written
+from corvane.llm.exchange import numbered, written
 
 MIN_DOCS = 5
 TRAIN_ROWS = 20_000
@@ -118,12 +118,13 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, train_rows: in
 
 
 def redact(documents: DataFrame, mask: str = MASK) -> DataFrame:
-    """``documents`` with every secret in ``text`` replaced; all rows and columns stay."""
-    secrets = scan(documents).where("is_secret").select("doc_id", "found").distinct()
-    # Longest first, so that none is left in part; a document's list is bounded by its text.
+    """``documents`` with the secrets found in each row's ``text`` replaced there; all rows and columns stay."""
+    rows = numbered(documents, "_row")
+    secrets = scan(rows.selectExpr("_row as doc_id", "text")).where("is_secret").select("doc_id", "found").distinct()
+    # Longest first, so that none is left in part; a list holds one row's findings and is bounded by its text.
     listed = secrets.groupBy("doc_id").agg(F.collect_list(F.struct(-F.length("found"), "found")).alias("secrets"))
-    listed = listed.select(F.col("doc_id").alias("_of"), F.expr("transform(sort_array(secrets), x -> x.found)").alias("_secrets"))
-    joined = documents.join(listed, documents["doc_id"].cast("bigint").eqNullSafe(F.col("_of")), "left")
-    clean = F.aggregate("_secrets", documents["text"], lambda text, secret: F.replace(text, secret, F.lit(mask)))
-    text = F.when(F.col("_secrets").isNull(), documents["text"]).otherwise(clean)
-    return joined.select(*(text.alias(c) if c == "text" else documents[c] for c in documents.columns))
+    listed = listed.select(F.col("doc_id").alias("_row"), F.expr("transform(sort_array(secrets), x -> x.found)").alias("_secrets"))
+    joined = rows.join(listed, "_row", "left")
+    clean = F.aggregate("_secrets", F.col("text"), lambda text, secret: F.replace(text, secret, F.lit(mask)))
+    text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)
+    return joined.select(*(text.alias(c) if c == "text" else F.col(c) for c in documents.columns))

@@ -273,3 +273,10 @@ def test_empty_tables(spark, empty):
     ]
     for frame in frames:
         assert frame.isEmpty()
+
+
+def test_rows_are_masked_by_their_own_secrets(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "scan", lambda rows: secrets.candidates(rows).withColumn("is_secret", F.col("before").contains("token")))
+    rows = [(i, text) for i in (None, 1) for text in (f'token = "{"0af" * 8}"', f'Karte "{"0af" * 8}"')]
+    clean = secrets.redact(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted(r.text for r in clean) == sorted([f'Karte "{"0af" * 8}"', 'token = "[secret]"'] * 2)
