@@ -1,6 +1,9 @@
 """Secret scans: candidate strings, and a random forest that removes false findings.
 
-Candidates are long runs of letters, digits and a few signs that hold a digit. Each is described
+Candidates are long runs of letters, digits and a few signs that hold a digit or begin like a
+well-known credential, and any value that an announcing word and ``=`` or ``:`` stand before,
+whatever its length and signs: in quotes up to the closing one on its line, else up to a space, without
+closing commas, quotes and brackets. Each is described
 by its length and runs of character classes, by how much of it words of a dictionary
 cover, by path signs and by the words around it. The forest is trained on labelled findings;
 ``labelled`` makes such labels from the forms of well-known credentials and of harmless
@@ -33,10 +36,21 @@ THRESHOLD = 0.5
 MASK = "[secret]"
 
 # What a candidate is, credential forms, harmless forms, and words that announce a credential.
-CANDIDATE = r"(?=[A-Za-z+/_\-]*[0-9])[A-Za-z0-9+/_\-]{16,}+"
+# The shortest of SECRET_FORMS has 15 characters.
+CANDIDATE = r"(?:(?=[A-Za-z+/_\-]*[0-9])|(?=AKIA|gh[pousr]_|sk_live_|xox[baprs]-))[A-Za-z0-9+/_\-]{15,}+"
 SECRET_FORMS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{24,}|xox[baprs]-[A-Za-z0-9-]{10,})$"
 HARMLESS_FORMS = r"^(?:[0-9+/_\-]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$"
 ANNOUNCING = r"(?i)(?:pass(?:word|wd)?|secret|token|api_?key|credential|auth|access_?key)"
+# What stands before an announced value, up to it; the announcing word may have a plural, a number or a further part ("token_2", "secretKey").
+BEFORE_VALUE = (
+    r"(?i)(?:pass(?:word|wd|phrase|code)?|secret|token|api[_\-]?key|credential|auth(?:orization)?|access[_\-]?key)"
+    r"(?:s|[_\-0-9][a-z0-9_\-]*|(?-i:[A-Z])[a-z0-9]*)?[\"']?\s*(?:=>|:=|=+|:)\s*(?:(?:bearer|basic)\s+)?"
+)
+VALUE = r"^(?:\"([^\"\n]+)\"|'([^'\n]+)'|[\"']?([^\s\"',;)\]}>](?:\S*[^\s\"',;)\]}>])?))"
+ASSIGNED = r"(?i)^:|(?:pass(?:word|wd|phrase|code)?|secret|token|api[_\-]?key|credential|auth|access[_\-]?key)[a-z0-9_\-]*[\"']?:"
+# A character that no text holds, put before each announced value.
+MARK = "\uFDD0"
+SPACES = r"[\x09-\x0D\x20]+"
 
 FEATURES = ["n_chars", "n_runs", "runs_per_char", "digit_share", "upper_share", "covered_share", "path_signs", "announced", "quoted", "assigned"]
 
@@ -44,15 +58,23 @@ FEATURES = ["n_chars", "n_runs", "runs_per_char", "digit_share", "upper_share",
 def candidates(documents: DataFrame) -> DataFrame:
     """``(doc_id, at, found, before, after, word)``: each candidate with its word's place and its neighbours."""
     rows = documents.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
-    rows = rows.where(F.col("text").rlike(CANDIDATE)).select("doc_id", F.split("text", r"[\x09-\x0D\x20]+").alias("words"))
-    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE))
-    at = rows.select("doc_id", "words", F.explode(places).alias("at"))
-    near = at.select(
-        "doc_id", "at", F.get("words", F.col("at")).alias("word"),
-        F.concat_ws(" ", F.get("words", F.col("at") - 2), F.get("words", F.col("at") - 1)).alias("before"),
-        F.coalesce(F.get("words", F.col("at") + 1), F.lit("")).alias("after"),
+    rows = rows.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(BEFORE_VALUE))
+    pieces = F.split(F.regexp_replace("text", f"({BEFORE_VALUE})(?=\\S)", f"$1{MARK}"), MARK)
+    rows = rows.select("doc_id", F.split("text", SPACES).alias("words"), pieces.alias("pieces"))
+    pair = lambda at, found: F.struct(at.cast("int").alias("at"), found.alias("found"))
+    runs = F.transform("words", lambda w, i: F.transform(F.regexp_extract_all(w, F.lit(CANDIDATE), F.lit(0)), lambda x: pair(i, x)))
+    spaces = F.transform("pieces", lambda x: F.size(F.split(x, SPACES)) - 1)
+    value = lambda x: F.concat(*(F.regexp_extract(x, VALUE, k) for k in (1, 2, 3)))
+    place = lambda k: F.aggregate(F.slice("spaces", F.lit(1), k + 1), F.lit(0), lambda a, b: a + b)
+    announced = F.transform(F.slice("pieces", F.lit(2), F.size("pieces")), lambda x, k: pair(place(k), value(x)))
+    announced = F.filter(announced, lambda x: x["found"] != "")
+    rows = rows.select("*", F.flatten(runs).alias("runs"), spaces.alias("spaces"))
+    at = rows.select("doc_id", "words", F.explode(F.concat("runs", F.array_except(announced, "runs"))).alias("pair"))
+    return at.select(
+        "doc_id", F.col("pair.at").alias("at"), F.get("words", F.col("pair.at")).alias("word"),
+        F.concat_ws(" ", F.get("words", F.col("pair.at") - 2), F.get("words", F.col("pair.at") - 1)).alias("before"),
+        F.coalesce(F.get("words", F.col("pair.at") + 1), F.lit("")).alias("after"), F.col("pair.found").alias("found"),
     )
-    return near.select("*", F.explode(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))).alias("found"))
 
 
 def dictionary(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -80,7 +102,7 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         F.length(F.regexp_replace("word", r"[^/.@:]+", "")).cast("double").alias("path_signs"),
         flag(F.concat_ws(" ", "before", F.replace("word", "found", F.lit(""))).rlike(ANNOUNCING)).alias("announced"),
         flag(F.contains("word", F.lit('"')) | F.contains("word", F.lit("'"))).alias("quoted"),
-        flag(F.contains("word", F.lit("=")) | F.rlike("before", F.lit("[=:]$"))).alias("assigned"),
+        flag(F.contains("word", F.lit("=")) | F.rlike("before", F.lit("(?i)[=:>](?: bearer| basic)?$")) | F.rlike("word", F.lit(ASSIGNED))).alias("assigned"),
     )
 
 
@@ -125,6 +147,11 @@ def redact(documents: DataFrame, mask: str = MASK) -> DataFrame:
     listed = secrets.groupBy("doc_id").agg(F.collect_list(F.struct(-F.length("found"), "found")).alias("secrets"))
     listed = listed.select(F.col("doc_id").alias("_row"), F.expr("transform(sort_array(secrets), x -> x.found)").alias("_secrets"))
     joined = rows.join(listed, "_row", "left")
-    clean = F.aggregate("_secrets", F.col("text"), lambda text, secret: F.replace(text, secret, F.lit(mask)))
+    # Long runs are masked wherever they stand, other values, which may be short or plain words, only where they are announced.
+    exactly = lambda secret: F.concat(F.lit("\\Q"), F.replace(secret, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    announced = lambda secret: F.concat(F.lit(f"({BEFORE_VALUE}[\"']?)"), exactly(secret))
+    put = "$1" + mask.replace("\\", "\\\\").replace("$", "\\$")
+    masked = lambda text, secret: F.when(secret.rlike(f"^{CANDIDATE}$"), F.replace(text, secret, F.lit(mask))).otherwise(F.regexp_replace(text, announced(secret), F.lit(put)))
+    clean = F.aggregate("_secrets", F.col("text"), masked)
     text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)
     return joined.select(*(text.alias(c) if c == "text" else F.col(c) for c in documents.columns))

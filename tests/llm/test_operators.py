@@ -280,3 +280,17 @@ def test_rows_are_masked_by_their_own_secrets(spark, monkeypatch):
     rows = [(i, text) for i in (None, 1) for text in (f'token = "{"0af" * 8}"', f'Karte "{"0af" * 8}"')]
     clean = secrets.redact(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted(r.text for r in clean) == sorted([f'Karte "{"0af" * 8}"', 'token = "[secret]"'] * 2)
+
+
+def test_announced_values_are_candidates_whatever_their_form(spark):
+    rows = ["x password: hunter2", 'db_password = "a b!c$d"', "API_KEY=Tr0ub4dor&3, dann", '{"token":"k!","secret":"z"}', "Authorization: Bearer ab.cd", "xoxb-abcdefghij", "Author: Anna", "secret ="]
+    got = secrets.candidates(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    expected = [(0, 2, "hunter2"), (1, 2, "a b!c$d"), (2, 0, "Tr0ub4dor&3"), (3, 0, "k!"), (3, 0, "z"), (4, 2, "ab.cd"), (5, 0, "xoxb-abcdefghij")]
+    assert sorted((r.doc_id, r.at, r.found) for r in got) == expected
+
+
+def test_announced_values_are_masked_where_announced(spark):
+    texts = ["zu hunt: password: hunt, hunt", 'db_password = "a b!c$d\\\\E" a', "API_KEY=Tr0ub4dor&3, dann"]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    clean = sorted(r.text for r in secrets.redact(docs).collect())
+    assert clean == ["API_KEY=[secret], dann", 'db_password = "[secret]" a', "zu hunt: password: [secret], hunt"]
