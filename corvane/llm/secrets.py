@@ -7,20 +7,25 @@ closing commas, quotes and brackets. Each is described
 by its length and runs of character classes, by how much of it words of a dictionary
 cover, by path signs and by the words around it. The forest is trained on labelled findings;
 ``labelled`` makes such labels from the forms of well-known credentials and of harmless
-numbers, which the forest does not see as such and so generalizes. Everything is DataFrame
-functions and Spark's own forest; no Python runs over rows.
+numbers. Of such labels the forest learns by the value alone and does not see whether it was announced
+and assigned, as that is what they were given for; findings labelled by others are learned from with these
+features too. Everything is DataFrame functions and Spark's own forest; no Python runs over rows.
 
 The dictionary holds the words of all documents that occur in ``MIN_DOCS`` of them. Training
-uses at most about ``TRAIN_ROWS`` labelled findings, chosen by a hash.
+uses at most about ``TRAIN_ROWS`` different labelled findings, chosen by a hash, and of each label a
+tenth of that where there are so many; copies count once, so they change neither sample nor model.
 
 Nulls and edge cases: a null or empty text has no finding. Repeated rows give their findings
-each. A null ``doc_id`` is passed through. Without labels of both kinds the score is the share of
-label 1, or 1. Empty tables give an empty result. Other columns are not read by ``scan`` and are
+each. A null ``doc_id`` is passed through. Without labels of both kinds in the sample the score is the
+one label there is, or 1. Empty tables give an empty result. Other columns are not read by ``scan`` and are
 passed through by ``redact``.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -37,7 +42,7 @@ MASK = "[secret]"
 
 # What a candidate is, credential forms, harmless forms, and words that announce a credential.
 # The shortest of SECRET_FORMS has 15 characters.
-CANDIDATE = r"(?:(?=[A-Za-z+/_\-]*[0-9])|(?=AKIA|gh[pousr]_|sk_live_|xox[baprs]-))[A-Za-z0-9+/_\-]{15,}+"
+CANDIDATE = r"(?=[A-Za-z0-9+/_\-]{15})(?:(?=[A-Za-z+/_\-]*[0-9])|(?=AKIA|gh[pousr]_|sk_live_|xox[baprs]-))[A-Za-z0-9+/_\-]{15,}+"
 SECRET_FORMS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{24,}|xox[baprs]-[A-Za-z0-9-]{10,})$"
 HARMLESS_FORMS = r"^(?:[0-9+/_\-]+|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$"
 ANNOUNCING = r"(?i)(?:pass(?:word|wd)?|secret|token|api_?key|credential|auth|access_?key)"
@@ -46,6 +51,8 @@ BEFORE_VALUE = (
     r"(?i)(?:pass(?:word|wd|phrase|code)?|secret|token|api[_\-]?key|credential|auth(?:orization)?|access[_\-]?key)"
     r"(?:s|[_\-0-9][a-z0-9_\-]*|(?-i:[A-Z])[a-z0-9]*)?[\"']?\s*(?:=>|:=|=+|:)\s*(?:(?:bearer|basic)\s+)?"
 )
+# Each text that BEFORE_VALUE matches holds one of these in lower case; looking for them takes less than the match.
+HINTS = ("pass", "secret", "token", "credential", "auth", "apikey", "api_key", "api-key", "accesskey", "access_key", "access-key")
 VALUE = r"^(?:\"([^\"\n]+)\"|'([^'\n]+)'|[\"']?([^\s\"',;)\]}>](?:\S*[^\s\"',;)\]}>])?))"
 ASSIGNED = r"(?i)^:|(?:pass(?:word|wd|phrase|code)?|secret|token|api[_\-]?key|credential|auth|access[_\-]?key)[a-z0-9_\-]*[\"']?:"
 # A character that no text holds, put before each announced value.
@@ -54,15 +61,21 @@ SPACES = r"[\x09-\x0D\x20]+"
 
 FEATURES = ["n_chars", "n_runs", "runs_per_char", "digit_share", "upper_share", "covered_share", "path_signs", "announced", "quoted", "assigned"]
 
+# Those that ``labelled`` does not go by.
+FEATURES_OF_VALUE = [x for x in FEATURES if x not in ("announced", "assigned")]
+
 
 def candidates(documents: DataFrame) -> DataFrame:
     """``(doc_id, at, found, before, after, word)``: each candidate with its word's place and its neighbours."""
     rows = documents.selectExpr("cast(doc_id as bigint) as doc_id", "cast(text as string) as text")
-    rows = rows.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(BEFORE_VALUE))
-    pieces = F.split(F.regexp_replace("text", f"({BEFORE_VALUE})(?=\\S)", f"$1{MARK}"), MARK)
+    hinted = reduce(lambda a, b: a | b, (F.contains(F.lower("text"), F.lit(x)) for x in HINTS))
+    rows = rows.where((hinted & F.col("text").rlike(BEFORE_VALUE)) | F.col("text").rlike(CANDIDATE))
+    marked = F.when(hinted, F.regexp_replace("text", f"({BEFORE_VALUE})(?=\\S)", f"$1{MARK}")).otherwise(F.col("text"))
+    pieces = F.split(marked, MARK)
     rows = rows.select("doc_id", F.split("text", SPACES).alias("words"), pieces.alias("pieces"))
     pair = lambda at, found: F.struct(at.cast("int").alias("at"), found.alias("found"))
-    runs = F.transform("words", lambda w, i: F.transform(F.regexp_extract_all(w, F.lit(CANDIDATE), F.lit(0)), lambda x: pair(i, x)))
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE))
+    runs = F.transform(places, lambda i: F.transform(F.regexp_extract_all(F.get("words", i), F.lit(CANDIDATE), F.lit(0)), lambda x: pair(i, x)))
     spaces = F.transform("pieces", lambda x: F.size(F.split(x, SPACES)) - 1)
     value = lambda x: F.concat(*(F.regexp_extract(x, VALUE, k) for k in (1, 2, 3)))
     place = lambda k: F.aggregate(F.slice("spaces", F.lit(1), k + 1), F.lit(0), lambda a, b: a + b)
@@ -114,6 +127,18 @@ def labelled(described: DataFrame) -> DataFrame:
     return described.withColumn("label", F.when(secret, 1.0).when(harmless, 0.0)).where("label is not null")
 
 
+def training_sample(taught: DataFrame, rows: int) -> DataFrame:
+    """The different rows of ``taught (found, label, ...)``, at most about ``rows`` of them, and a tenth as many of each label where there are."""
+    once = written(taught.where("label is not null").dropDuplicates(), "taught")
+    counts = {r["label"]: r["count"] for r in once.groupBy("label").count().collect()}
+    place = F.pmod(F.xxhash64(*once.columns), F.lit(1 << 40))
+    chosen = F.lit(False)
+    for label, count in counts.items():
+        share = min(1.0, max(rows / sum(counts.values()), rows / 10 / count))
+        chosen = chosen | ((F.col("label") == label) & (place < math.ceil(share * (1 << 40))))
+    return once.where(chosen)
+
+
 def scan(documents: DataFrame, findings: DataFrame | None = None, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``(doc_id, at, found, score, is_secret)``: every candidate with the forest's verdict.
 
@@ -124,15 +149,13 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, train_rows: in
     # Written once: training, its counts and the verdicts all read it.
     described = written(describe(candidates(documents), words), "candidates")
     taught = labelled(described) if findings is None else describe(findings, words)
-    taught = taught.select("found", "label", *FEATURES)
-    count, ones = taught.agg(F.count("*"), F.avg("label")).first()
-    if not count or ones in (0.0, 1.0):
-        scored = described.withColumn("score", F.lit(1.0 if ones is None else ones))
+    features = FEATURES_OF_VALUE if findings is None else FEATURES
+    sample = training_sample(taught.select("found", "label", *features), train_rows)
+    labels = [r.label for r in sample.select("label").distinct().collect()]
+    if len(labels) < 2:
+        scored = described.withColumn("score", F.lit(float(labels[0]) if labels else 1.0))
     else:
-        share = int(min(1.0, train_rows / count) * (1 << 20))
-        # Copies of a finding count once, so one that a third of all rows hold does not fill the sample.
-        sample = taught.dropDuplicates().where(F.pmod(F.xxhash64("found"), F.lit(1 << 20)) < share)
-        vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
+        vectors = VectorAssembler(inputCols=features, outputCol="features")
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11, cacheNodeIds=False)
         model = forest.fit(vectors.transform(sample))
         scored = model.transform(vectors.transform(described)).withColumn("score", vector_to_array("probability")[1])

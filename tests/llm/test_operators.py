@@ -294,3 +294,19 @@ def test_announced_values_are_masked_where_announced(spark):
     docs = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
     clean = sorted(r.text for r in secrets.redact(docs).collect())
     assert clean == ["API_KEY=[secret], dann", 'db_password = "[secret]" a', "zu hunt: password: [secret], hunt"]
+
+
+def test_copies_do_not_shrink_the_training_sample(spark):
+    rng = random.Random(6)
+    values = [("".join(rng.choices("0123456789abcdef", k=40)), 1.0) for _ in range(20)] + [(str(rng.randrange(10**15, 10**16)), 0.0) for _ in range(20)]
+    findings = spark.createDataFrame([(x, "", "", x, label) for x, label in values for _ in range(200)], "found string, before string, after string, word string, label double")
+    docs = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(values)], "doc_id bigint, text string")
+    assert [r.is_secret for r in secrets.scan(docs, findings, train_rows=100).orderBy("doc_id").collect()] == [label == 1 for _, label in values]
+
+
+def test_an_announced_false_finding_is_not_a_secret(spark):
+    rng = random.Random(7)
+    rows = [f'token = "{"".join(rng.choices("0123456789abcdef", k=40))}"' for _ in range(30)] + [f"Karte {rng.randrange(10**15, 10**16)} da" for _ in range(30)]
+    rows.append('token = "1234567890123456"')
+    found = secrets.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")).collect()
+    assert {r.doc_id for r in found if r.is_secret} == set(range(30))
