@@ -47,7 +47,7 @@ def _cutter(vocabulary: str, capacity: int):
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.append(encode(vocabulary, text.as_py()), np.uint32(END)).astype("<u4")
+                ids = np.append(encode(vocabulary, text.as_py(), special=True), np.uint32(END)).astype("<u4")
                 whole, half = len(ids) // capacity * capacity, capacity // 2
                 starts = [*range(0, len(ids), capacity)]
                 if len(ids) - whole > half:
