@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import kneser_ney, language, packing, parity_join, phrases, repetition, secrets, sql, token_trees, toxicity, window_dedup
+from corvane.llm import (
+    alignment,
+    kneser_ney,
+    language,
+    line_dedup,
+    packing,
+    parity_join,
+    phrases,
+    repetition,
+    secrets,
+    sql,
+    token_trees,
+    toxicity,
+    whitening,
+    window_dedup,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -67,6 +82,19 @@ def op10_repetition(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.measure(_table(spark, folder, "documents"))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
+def op12_lines(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.remove_repeated_lines(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -79,6 +107,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_phrases": op8_phrases,
         "op9_parity": op9_parity,
         "op10_repetition": op10_repetition,
+        "op11_whitening": op11_whitening,
+        "op12_lines": op12_lines,
+        "op13_alignment": op13_alignment,
     }
 
 

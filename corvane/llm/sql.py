@@ -38,6 +38,19 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+LINES = r"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p FROM d),
+k AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+shared AS (
+  SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+stay AS (SELECT k.* FROM k LEFT JOIN shared USING (key) WHERE first IS NULL OR k.doc_id = first),
+kept AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS text FROM stay GROUP BY r)
+SELECT doc_id, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_windows": WINDOWS, "op8_phrases": PHRASES}
+    return {"op5_windows": WINDOWS, "op8_phrases": PHRASES, "op12_lines": LINES}
