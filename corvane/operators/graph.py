@@ -16,6 +16,11 @@ from corvane.session import prepare_checkpoints
 
 # Entries in one stored list. A longer list becomes several rows of the same node.
 MAX_LIST = 10_000
+# A node with at least one of so many of all links has its list made by several tasks, unless they are fewer than MIN_HUB_LINKS.
+HUBS = 20_000
+MIN_HUB_LINKS = 200_000
+# Counters of the sketch that finds such nodes; its error is at most 1 / (0.75 * SKETCH_ITEMS) of all links.
+SKETCH_ITEMS = 1 << 16
 
 NODE_COUNTS = ("out_degree", "out_links", "in_degree", "in_links")
 
@@ -65,16 +70,24 @@ def dangling_nodes(links: DataFrame, nodes: DataFrame | None = None) -> DataFram
     return node_table(links, nodes).where("out_degree = 0").select("id")
 
 
-def _places(links: DataFrame, own: str, other: str) -> DataFrame:
-    """``(id, entry, copies, first)``: where in the sorted list of ``id`` the copies of ``entry`` begin, from 0.
+def _hubs(links: DataFrame, own: str, hot_share: int = HUBS, least: int = MIN_HUB_LINKS) -> DataFrame:
+    """``(id)`` of the nodes with at least ``1 / hot_share`` of all links and no fewer than ``least``: at most ``hot_share`` rows.
 
-    Links are cut by range of (id, entry) into slices of equal size, so a node with very many
-    has several, in order. Places are counted within each slice, and the slices of one node add
-    up. Slices come from a sample, so they are checkpointed: all readers must see the same ones.
+    From a frequent-items sketch, whose error is below ``1 / hot_share``; it is merged from one of each task.
     """
-    prepare_checkpoints(links.sparkSession)
-    rows = links.selectExpr(f"{own} as id", f"{other} as entry", "copies").repartitionByRange("id", "entry")
-    sliced = rows.withColumn("slice", F.spark_partition_id()).checkpoint()
+    sketch = links.agg(F.expr(f"approx_top_k({own}, {hot_share}, {SKETCH_ITEMS})").alias("top"), F.count("*").alias("total")).first()
+    limit = max(least, sketch["total"] // hot_share)
+    return links.sparkSession.createDataFrame([(x["item"],) for x in sketch["top"] or () if x["count"] >= limit], "id string")
+
+
+def _hub_places(rows: DataFrame) -> DataFrame:
+    """``_places`` for nodes whose links are too many for one task.
+
+    Links are cut by range of (id, entry) into slices of equal size, so such a node has several, in order. Places are
+    counted within each slice, and the slices of one node add up. Slices come from a sample, so they are
+    checkpointed: all readers must see the same ones.
+    """
+    sliced = rows.repartitionByRange("id", "entry").withColumn("slice", F.spark_partition_id()).checkpoint()
     sizes = sliced.groupBy("id", "slice").agg(F.sum("copies").alias("size"))
     earlier = Window.partitionBy("id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     later = sizes.select("id", "slice", F.sum("size").over(earlier).alias("skipped")).where("skipped is not null")
@@ -83,15 +96,18 @@ def _places(links: DataFrame, own: str, other: str) -> DataFrame:
     return counted.selectExpr("id", "entry", "copies", "coalesce(skipped, 0L) + coalesce(within, 0L) as first")
 
 
-def _lists(links: DataFrame, own: str, other: str, name: str, max_list: int) -> DataFrame:
-    """The ``other`` ends per ``own`` end in sorted order, cut into runs of ``max_list``.
+def _places(rows: DataFrame) -> DataFrame:
+    """``(id, entry, copies, first)``: where in the sorted list of ``id`` the copies of ``entry`` begin, from 0.
 
-    ``part`` p holds the entries at the places p * max_list and following of the whole
-    sorted list, so the parts one after the other are that list, and only the last may be shorter.
+    A node's links meet in one task, by one exchange; what is done by node after this stays there.
     """
-    cut = _places(links, own, other).selectExpr(
-        "*", f"explode(sequence(first div {max_list}, (first + copies - 1) div {max_list})) as part"
-    )
+    before = Window.partitionBy("id").orderBy("entry").rowsBetween(Window.unboundedPreceding, -1)
+    return rows.select("id", "entry", "copies", F.coalesce(F.sum("copies").over(before), F.lit(0)).alias("first"))
+
+
+def _cut_lists(places: DataFrame, name: str, max_list: int) -> DataFrame:
+    """Each sorted list in runs of ``max_list`` entries: ``part`` p holds those at the places p * max_list and following."""
+    cut = places.selectExpr("*", f"explode(sequence(first div {max_list}, (first + copies - 1) div {max_list})) as part")
     dealt = cut.selectExpr(
         "id",
         "cast(part as int) as part",
@@ -102,31 +118,55 @@ def _lists(links: DataFrame, own: str, other: str, name: str, max_list: int) ->
     return grouped.selectExpr("id", "part", f"sort_array(flatten(entries)) as {name}")
 
 
+def _lists(links: DataFrame, own: str, other: str, name: str, max_list: int, hubs: DataFrame | None = None) -> DataFrame:
+    """The ``other`` ends per ``own`` end in sorted order, cut into runs of ``max_list``.
+
+    The parts of a node one after the other are its whole sorted list, and only the last may be shorter. After
+    ``links`` is checkpointed, links of all but the few ``hubs`` move once, to the task of their node, where they are
+    sorted, placed and collected; links of hubs, which no one task could hold, go by ranges instead.
+    """
+    rows = links.selectExpr(f"{own} as id", f"{other} as entry", "copies")
+    if hubs is None:
+        hubs = _hubs(rows, "id")
+    if hubs.isEmpty():
+        return _cut_lists(_places(rows), name, max_list)
+    hubs = F.broadcast(hubs)  # no more than HUBS rows
+    of_hubs = _cut_lists(_hub_places(rows.join(hubs, "id", "left_semi")), name, max_list)
+    return _cut_lists(_places(rows.join(hubs, "id", "left_anti")), name, max_list).unionByName(of_hubs)
+
+
+def _laid_down(links: DataFrame) -> DataFrame:
+    """The links computed once, for the sketch and the lists alike."""
+    prepare_checkpoints(links.sparkSession)
+    return links.checkpoint()
+
+
 def adjacency(links: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """``(id, part, neighbors)`` for every node with outgoing arcs."""
-    return _lists(links, "src", "dst", "neighbors", max_list)
+    return _lists(_laid_down(links), "src", "dst", "neighbors", max_list)
 
 
 def reverse_adjacency(links: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     """``(id, part, linked_from)`` for every node with incoming arcs."""
-    return _lists(links, "dst", "src", "linked_from", max_list)
+    return _lists(_laid_down(links), "dst", "src", "linked_from", max_list)
 
 
 def dangling_with_inlinks(links: DataFrame, max_list: int = MAX_LIST, **hot) -> DataFrame:
     """``(id, part, linked_from)`` for nodes that are linked to but link nowhere."""
     sizes = node_table(links).where("in_links > 0").selectExpr("id as dst", "out_degree", "in_links")
     leading_nowhere = attach(links, sizes, "dst", "in_links", **hot).where("out_degree = 0")
-    return _lists(leading_nowhere, "dst", "src", "linked_from", max_list)
+    return _lists(_laid_down(leading_nowhere), "dst", "src", "linked_from", max_list)
 
 
 def adjacency_with_dangling(
     links: DataFrame, nodes: DataFrame | None = None, max_list: int = MAX_LIST
 ) -> DataFrame:
     """``adjacency`` and, with null for their list, the dangling nodes."""
+    links = _laid_down(links)
     dangling = dangling_nodes(links, nodes).selectExpr(
         "id", "0 as part", "cast(null as array<string>) as neighbors"
     )
-    return adjacency(links, max_list).unionByName(dangling)
+    return _lists(links, "src", "dst", "neighbors", max_list).unionByName(dangling)
 
 
 def both_lists(links: DataFrame, nodes: DataFrame | None = None, max_list: int = MAX_LIST) -> DataFrame:
@@ -135,8 +175,10 @@ def both_lists(links: DataFrame, nodes: DataFrame | None = None, max_list: int =
     A list is null in rows beyond its last part; a degree of 0 tells that there is none at all.
     A node without any arc has one row.
     """
+    links = _laid_down(links)
     every = degrees(links, nodes)
-    listed = adjacency(links, max_list).join(reverse_adjacency(links, max_list), ["id", "part"], "full_outer")
+    outgoing, incoming = _lists(links, "src", "dst", "neighbors", max_list), _lists(links, "dst", "src", "linked_from", max_list)
+    listed = outgoing.join(incoming, ["id", "part"], "full_outer")
     linked = listed.join(every, "id").select("id", "part", "out_degree", "in_degree", "neighbors", "linked_from")
     no_list = "cast(null as array<string>)"
     alone = every.where("out_degree = 0 and in_degree = 0").selectExpr(

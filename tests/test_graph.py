@@ -108,3 +108,29 @@ def test_arcs_of_a_corpus(spark):
     ]
     corpus = spark.createDataFrame(pages, "title string, text string")
     assert rows(G.corpus_arcs(corpus)) == [("p1", "p2"), ("p1", "p2"), ("p1", "q, r"), ("p3", "")]
+
+
+def test_hubs_get_the_same_lists(spark, monkeypatch):
+    """By ranges over several tasks, as by one task."""
+    arcs = [("hub", f"n{i % 900:04}") for i in range(3000)] + [(f"n{i:04}", f"n{(i * 7) % 50:04}") for i in range(900)]
+    links = G.link_counts(spark.createDataFrame(arcs, "src string, dst string"))
+    plain = [rows(G.adjacency(links, 40)), rows(G.reverse_adjacency(links, 40))]
+    monkeypatch.setattr(G, "_hubs", lambda rows, own: rows.sparkSession.createDataFrame([("hub",), ("n0007",)], "id string"))
+    assert [rows(G.adjacency(links, 40)), rows(G.reverse_adjacency(links, 40))] == plain
+    assert len([r for r in plain[0] if r[0] == "hub"]) == 75
+
+
+def test_hubs_are_found_by_their_share(spark):
+    arcs = [("hub", f"n{i}") for i in range(500)] + [(f"n{i}", "x") for i in range(1500)]
+    links = G.link_counts(spark.createDataFrame(arcs, "src string, dst string"))
+    assert rows(G._hubs(links, "src", 10, 100)) == [("hub",)]
+    assert rows(G._hubs(links, "dst", 2, 100)) == [("x",)]
+    assert rows(G._hubs(links, "src", 10, 501)) == []
+    assert rows(G._hubs(links.where("src = 'none'"), "src", 10, 1)) == []
+
+
+def test_links_move_once_for_lists(spark):
+    arcs = [(f"n{i % 30}", f"n{i}") for i in range(300)]
+    links = G._laid_down(G.link_counts(spark.createDataFrame(arcs, "src string, dst string")))
+    plan = G._lists(links, "src", "dst", "neighbors", 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan
