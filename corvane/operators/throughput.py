@@ -49,12 +49,13 @@ def section_lines(lines: DataFrame) -> DataFrame:
 
 
 def rps_records(lines: DataFrame) -> DataFrame:
-    """``(test_id, section, node, rps)``; a header gives a row without node and rps,
+    """``(test_id, section, is_value, node, rps)``; a header gives a row that is no value,
     so a section that has only begun is there with nothing in it."""
     line = F.col("line")
     return section_lines(lines).select(
         "test_id",
         "section",
+        L.is_value(line).alias("is_value"),
         F.when(L.is_value(line), L.value_node(line)).alias("node"),
         F.when(L.is_value(line), L.value_rps(line)).alias("rps"),
     )
@@ -62,9 +63,7 @@ def rps_records(lines: DataFrame) -> DataFrame:
 
 def rps_rows(lines: DataFrame) -> DataFrame:
     """``(test_id, minute, node, rps)``, one row per value line."""
-    return rps_records(lines).where("node is not null").select(
-        "test_id", F.col("section.minute").alias("minute"), "node", "rps"
-    )
+    return rps_records(lines).where("is_value").select("test_id", F.col("section.minute").alias("minute"), "node", "rps")
 
 
 def _total() -> Column:
@@ -85,6 +84,18 @@ def rps_latest(lines: DataFrame, tests: DataFrame) -> DataFrame:
     )
 
 
+def rps_report(lines: DataFrame, tests: DataFrame, target: float = TARGET) -> DataFrame:
+    """``(test_id, total_rps, first_minute)`` per test: ``rps_latest`` and, or null, ``rps_target``, both from one aggregation by section."""
+    by_section = rps_records(lines).groupBy("test_id", "section").agg(_total())
+    by_minute = by_section.groupBy("test_id", F.col("section.minute").alias("minute")).agg(
+        F.sum("total_rps").alias("total"), F.max("section").alias("last"), F.max_by("total_rps", "section").alias("last_rps")
+    )
+    by_test = by_minute.groupBy("test_id").agg(
+        F.max_by("last_rps", "last").alias("total_rps"), F.min(F.when(F.col("total") >= target, F.col("minute"))).alias("first_minute")
+    )
+    return tests.join(by_test, "test_id", "left").select("test_id", F.coalesce("total_rps", F.lit(0.0)).alias("total_rps"), "first_minute")
+
+
 def reached(totals: DataFrame, target: float = TARGET) -> DataFrame:
     """The totals that are at least the target."""
     return totals.where(F.col("total_rps") >= target)

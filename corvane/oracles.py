@@ -94,6 +94,10 @@ SECTIONS = """WITH rows AS (
 totals AS (SELECT test_id, minute, sum(rps) AS total_rps FROM rows GROUP BY ALL)
 """
 
+# Tests by number, in the order of their names.
+NUMBERED = """, numbers AS (SELECT test_id, CAST(row_number() OVER (ORDER BY test_id) AS VARCHAR) AS test FROM (SELECT DISTINCT test_id FROM rows))
+"""
+
 
 def _degrees(graph: str) -> str:
     return graph + NODES + """SELECT nodes.id, coalesce(outs.k, 0) AS out_degree, coalesce(ins.k, 0) AS in_degree
@@ -140,12 +144,25 @@ FROM arcs JOIN outs ON src = outs.id GROUP BY dst""",
         "pagerank_pages": _iterated(PAGES, 10) + "SELECT id, round(rank, 6) AS rank FROM r10",
         "pagerank_topk": ten + """SELECT coalesce(title, id) AS title, round(rank, 6) AS pagerank
 FROM r10 LEFT JOIN mapping USING (id) ORDER BY pagerank DESC, title LIMIT 100""",
+        "file_lines": """SELECT 'corpus' AS file, count(*) AS lines, count(*) FILTER (coalesce(text, '') = '') AS rejected FROM documents
+UNION ALL SELECT 'arcs', 3 * count(*), CAST(sum(CASE WHEN l_suppkey % 2 = 0 THEN 0 ELSE 1 END) AS BIGINT) FROM lineitem
+UNION ALL SELECT 'nodes', (SELECT count(*) FROM customer) + (SELECT count(*) FROM part) + (SELECT count(*) FROM supplier), 0""",
+        "file_terms": f"""WITH {_words("'Document ' || doc_id", "text", "documents")} SELECT word, title, tf FROM tf""",
+        "file_degrees": _degrees(TRADE),
+        "log_rows": SECTIONS + NUMBERED + "SELECT test AS test_id, minute, node, rps FROM rows JOIN numbers USING (test_id)",
+        "log_report": SECTIONS + NUMBERED + f"""SELECT test AS test_id, round(arg_max(total_rps, minute), 6) AS total_rps,
+  min(minute) FILTER (total_rps >= {TARGET}) AS first_minute
+FROM totals JOIN numbers USING (test_id) GROUP BY test""",
         "rps_rows": SECTIONS + "SELECT test_id, minute, node, rps FROM rows",
         "rps_per_minute": SECTIONS + "SELECT test_id, minute, round(total_rps, 6) AS total_rps FROM totals",
         "rps_latest": SECTIONS
         + "SELECT test_id, round(arg_max(total_rps, minute), 6) AS total_rps FROM totals GROUP BY test_id",
         "rps_target": SECTIONS + f"""SELECT test_id, min(minute) AS first_minute
 FROM totals WHERE total_rps >= {TARGET} GROUP BY test_id""",
+        "rps_watch_latest": SECTIONS
+        + "SELECT test_id, round(arg_max(total_rps, minute), 6) AS total_rps FROM totals GROUP BY test_id",
+        "rps_watch_target": SECTIONS + f"""SELECT test_id, min(minute) AS first_minute FROM totals
+WHERE total_rps >= {TARGET} AND 3600 * (minute + 1) <= (SELECT epoch(max(ts)) - 600 FROM events) GROUP BY test_id""",
         "rps_stream": """WITH windows AS (
   SELECT event_type AS test_id, date_trunc('minute', ts) AS window_start, sum(value) AS total_rps
   FROM events GROUP BY ALL)

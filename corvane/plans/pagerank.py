@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions.scoring import BASE_RANK, DAMPING
+from corvane.operators.graph import adjacency, corpus_arcs, link_counts
 from corvane.operators.pagerank import pagerank
 from corvane.operators.ranking import top_k
 from corvane.sinks import write_ranked_tsv, write_tsv
-from corvane.sources.tabbed import read_arcs, read_nodes
+from corvane.sources.rejects import LineCount
+from corvane.sources.tabbed import read_arcs, read_corpus, read_nodes
 
 
 def with_titles(ranks: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -42,11 +44,23 @@ def pagerank_job(
     all_path: str | None = None,
     damping: float = DAMPING,
     base: float = BASE_RANK,
+    strict: bool = False,
+    arc_count: LineCount | None = None,
+    node_count: LineCount | None = None,
 ) -> DataFrame:
     """Write the ranked list of the best pages and, if asked for, all ranks; these are also returned."""
-    nodes = read_nodes(spark, nodes_path)
-    ranks = pagerank(read_arcs(spark, arcs_path), nodes, iterations, unique_arcs, damping=damping, base=base)
+    nodes = read_nodes(spark, nodes_path, strict, node_count)
+    ranks = pagerank(read_arcs(spark, arcs_path, strict, arc_count), nodes, iterations, unique_arcs, damping=damping, base=base)
     write_ranked_tsv(best_pages(ranks, nodes, k), best_path)
     if all_path:
         write_tsv(ranks, all_path)
     return ranks
+
+
+def graph_job(
+    spark: SparkSession, corpus_path: str, arcs_path: str, lists_path: str, strict: bool = False, count: LineCount | None = None
+) -> None:
+    """Write the arcs of a corpus's links (source, target) and from these the adjacency lists (id, part, targets by blanks)."""
+    write_tsv(corpus_arcs(read_corpus(spark, corpus_path, strict, count)), arcs_path)
+    lists = adjacency(link_counts(read_arcs(spark, arcs_path)))
+    write_tsv(lists.select("id", "part", F.array_join("neighbors", " ").alias("neighbors")), lists_path)

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvane.functions import logs as L
 from corvane.operators import throughput as T
 from corvane.sources.logs import read_log_lines, read_log_names
+from corvane.sources.rejects import LineCount
 
 
-def throughput_report(spark: SparkSession, logs_path: str, target: float = T.TARGET) -> DataFrame:
+def throughput_report(
+    spark: SparkSession, logs_path: str, target: float = T.TARGET, count: LineCount | None = None
+) -> DataFrame:
     """``(test_id, total_rps, first_minute)`` per log: the latest throughput, and the
-    first minute at the target or null."""
+    first minute at the target or null. ``count`` takes as rejected the lines that are neither header nor value."""
     lines = read_log_lines(spark, logs_path)
-    latest = T.rps_latest(lines, read_log_names(spark, logs_path))
-    first = T.rps_target(T.rps_per_minute(lines), target)
-    return latest.join(first, "test_id", "left").select("test_id", "total_rps", F.col("first_minute"))
+    if count is not None:
+        lines = count.watch(lines, ~(L.is_header(F.col("line")) | L.is_value(F.col("line"))))
+    return T.rps_report(lines, read_log_names(spark, logs_path), target)

@@ -33,6 +33,15 @@ def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSessio
     )
 
 
+def session_like(spark: SparkSession, options: dict[str, str]) -> SparkSession:
+    """A new session of the same application with the settings of ``spark`` and some others; ``spark`` keeps its own."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **options}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    return own
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints and written intermediate tables.
 

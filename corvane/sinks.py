@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corvane.functions.logs import log_name
+
 
 def _lines(rows: DataFrame) -> DataFrame:
     """Plain tab-separated lines: nothing is quoted or escaped."""
@@ -23,3 +25,14 @@ def write_ranked_tsv(best: DataFrame, folder: str) -> None:
     Meant for the few rows of a ``top_k``, which already sit in one partition.
     """
     _lines(best).coalesce(1).write.mode("overwrite").text(folder)
+
+
+def write_logs(lines: DataFrame, folder: str) -> None:
+    """Lines ``(test_id, block, seq, line)`` as logs, each a folder ``log=test.<id>.log`` of parts in order.
+
+    Lines are dealt out by ranges of their order, so a long log is written by several tasks.
+    """
+    order = ["log", "block", "seq"]
+    named = lines.select(log_name(F.col("test_id")).alias("log"), "block", "seq", F.col("line").alias("value"))
+    sorted_lines = named.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_lines.select("log", "value").write.mode("overwrite").partitionBy("log").text(folder)

@@ -8,11 +8,12 @@ from pyspark.sql import SparkSession
 
 from corvane.functions.scoring import BASE_RANK, DAMPING
 from corvane.operators.throughput import TARGET, reached
-from corvane.plans.pagerank import pagerank_job
-from corvane.plans.search import search_job
+from corvane.plans.pagerank import graph_job, pagerank_job
+from corvane.plans.search import index_job, search_job
 from corvane.plans.throughput import throughput_report
 from corvane.sinks import write_tsv
 from corvane.sources.logs import read_rps_stream
+from corvane.sources.rejects import LineCount, counting_session
 from corvane.streaming.throughput import windowed_totals, write_final_windows
 
 
@@ -27,6 +28,15 @@ def parser() -> argparse.ArgumentParser:
     search.add_argument("--all", default="tfidf_all", help="folder for every document's score")
     search.add_argument("--out", default="tfidf", help="folder for the ranked list")
 
+    index = jobs.add_parser("index", help="TF-IDF of every word of every document")
+    index.add_argument("corpus", help="tab-separated text: title in field 1, text in field 3")
+    index.add_argument("--out", default="index", help="folder for word, title, count, idf, score")
+
+    graph = jobs.add_parser("graph", help="arcs and adjacency lists from the links in a corpus")
+    graph.add_argument("corpus", help="tab-separated text: title in field 1, text in field 3")
+    graph.add_argument("--arcs", default="arcs", help="folder for source, target")
+    graph.add_argument("--out", default="adjacency", help="folder for id, part, targets")
+
     rank = jobs.add_parser("pagerank", help="pages by PageRank")
     rank.add_argument("arcs", help="tab-separated text: source, target")
     rank.add_argument("nodes", help="tab-separated text: id, title")
@@ -50,13 +60,25 @@ def parser() -> argparse.ArgumentParser:
     watch.add_argument("--target", type=float, help="write only minutes that reach it")
     watch.add_argument("--once", action="store_true", help="end when all present records are read")
     watch.add_argument("--out", default="throughput_minutes")
+    for job in (search, index, graph, rank):
+        job.add_argument("--strict", action="store_true", help="stop at the first rejected line")
     return main
 
 
-def run(spark: SparkSession, options: argparse.Namespace) -> None:
+def run(spark: SparkSession, options: argparse.Namespace) -> list[LineCount]:
+    """Run the job; how many lines of its inputs were read and rejected is returned."""
+    spark = counting_session(spark)
     if options.job == "search":
-        search_job(spark, options.corpus, options.term, options.all, options.out, options.top)
+        counts = [LineCount("corpus")]
+        search_job(spark, options.corpus, options.term, options.all, options.out, options.top, options.strict, *counts)
+    elif options.job == "index":
+        counts = [LineCount("corpus")]
+        index_job(spark, options.corpus, options.out, options.strict, *counts)
+    elif options.job == "graph":
+        counts = [LineCount("corpus")]
+        graph_job(spark, options.corpus, options.arcs, options.out, options.strict, *counts)
     elif options.job == "pagerank":
+        counts = [LineCount("arcs"), LineCount("nodes")]
         pagerank_job(
             spark,
             options.arcs,
@@ -68,16 +90,22 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             options.all,
             options.damping,
             options.base,
+            options.strict,
+            *counts,
         )
     elif options.job == "throughput":
-        write_tsv(throughput_report(spark, options.logs, options.target), options.out)
+        counts = [LineCount("logs")]
+        write_tsv(throughput_report(spark, options.logs, options.target, *counts), options.out)
     else:
+        counts = []
         totals = windowed_totals(read_rps_stream(spark, options.records), lateness=options.lateness)
         if options.target is not None:
             totals = reached(totals, options.target)
         write_final_windows(totals, options.out, options.state, options.once).awaitTermination()
+    return counts
 
 
 if __name__ == "__main__":
     arguments = parser().parse_args()
-    run(SparkSession.builder.appName(f"corvane {arguments.job}").getOrCreate(), arguments)
+    for count in run(SparkSession.builder.appName(f"corvane {arguments.job}").getOrCreate(), arguments):
+        print(count)
