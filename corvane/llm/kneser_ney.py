@@ -30,9 +30,10 @@ from urllib.parse import urlparse
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corvane.llm import texts
-from corvane.llm.exchange import shuffle_partitions, written
+from corvane.llm.exchange import ranges_for, written
 from corvane.llm.window_dedup import _part_of
 from corvane.session import scratch_path
 
@@ -107,13 +108,20 @@ class Model:
     hot: np.ndarray  # words that begin very many bigrams, ascending
     hot_free: np.ndarray
     starts: int
+    written: dict[str, frozenset]  # by array the ranges that have one
     mapped: dict = field(default_factory=dict)
 
     def array(self, name: str, part: int) -> np.ndarray:
+        """A range's array; one that was written and is not to be seen here is an error, not an empty one."""
         key = (name, part)
         if key not in self.mapped:
             path = f"{self.folder}/{name}-{part}.npy"
-            self.mapped[key] = np.load(path, mmap_mode="r") if os.path.exists(path) and os.path.getsize(path) > 128 else np.zeros(0, np.uint64)
+            if part not in self.written[name]:
+                self.mapped[key] = np.zeros(0, np.uint64)
+            elif os.path.getsize(path) > 128:
+                self.mapped[key] = np.load(path, mmap_mode="r")
+            else:
+                self.mapped[key] = np.load(path)
         return self.mapped[key]
 
     def look_up(self, name: str, value: str, keys: np.ndarray, part: np.ndarray) -> np.ndarray:
@@ -238,7 +246,7 @@ def _store_bigrams(folder: str, parts: int, hot: np.ndarray):
         facts = [_counts_of_counts(counts), contexts[is_hot].view(np.int64).tolist(), kinds[is_hot].ravel().tolist()]
         return pa.table({
             "part": pa.array([x[0] for x in mine], pa.int32()), "keys": pa.array([x[1] for x in mine], pa.binary()), "counts": pa.array([x[2] for x in mine], pa.binary()),
-            "types": pa.array([len(keys), *blank], pa.int64()), **{k: pa.array([v, *blank], pa.list_(pa.int64())) for k, v in zip(("seen", "hot", "hot_kinds"), facts, strict=True)},
+            "types": pa.array([len(keys), *blank], pa.int64()), "own": pa.array([part, *blank], pa.int32()), **{k: pa.array([v, *blank], pa.list_(pa.int64())) for k, v in zip(("seen", "hot", "hot_kinds"), facts, strict=True)},
         })
 
     return store
@@ -251,7 +259,7 @@ def _store_followers(folder: str):
         _save(folder, "follower", part, keys)
         _save(folder, "follower_count", part, counts)
         kinds = [int((counts == 1).sum()), int((counts == 2).sum()), int((counts >= 3).sum())]
-        return pa.table({"seen": pa.array([_counts_of_counts(counts)], pa.list_(pa.int64())), "kinds": pa.array([kinds], pa.list_(pa.int64()))})
+        return pa.table({"own": pa.array([part], pa.int32()), "seen": pa.array([_counts_of_counts(counts)], pa.list_(pa.int64())), "kinds": pa.array([kinds], pa.list_(pa.int64()))})
 
     return store
 
@@ -263,10 +271,10 @@ def _total(rows: list, name: str, size: int) -> list[int]:
 def fit(training: DataFrame) -> Model:
     """The model of all texts of ``training (text)``; its arrays stay in the shared folder."""
     spark = training.sparkSession
-    parts = shuffle_partitions(spark)
     folder = local_path(scratch_path(spark, "kneser-ney"))
     rows = training.selectExpr("cast(text as string) as text")
-    starts = rows.count()
+    starts, total = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    parts = ranges_for(spark, total or 0)
     words = rows.mapInArrow(_count_words(parts), "part int, keys binary, counts binary").groupBy("part").applyInArrow(
         _store_words(folder), "part int, types bigint, total bigint, hot array<bigint>, hot_counts array<bigint>"
     )
@@ -276,21 +284,24 @@ def fit(training: DataFrame) -> Model:
     hot = np.unique(np.concatenate([np.array(hot, np.int64).view(np.uint64), [START]]))
     bigrams = rows.mapInArrow(_count_bigrams(parts, hot), "part int, before binary, words binary, counts binary").groupBy("part").applyInArrow(
         _store_bigrams(folder, parts, hot),
-        "part int, keys binary, counts binary, types bigint, seen array<bigint>, hot array<bigint>, hot_kinds array<bigint>",
+        "part int, keys binary, counts binary, types bigint, own int, seen array<bigint>, hot array<bigint>, hot_kinds array<bigint>",
     )
     bigrams = written(bigrams, "followers")
-    facts = bigrams.where("types is not null").select("types", "seen", "hot", "hot_kinds").collect()
+    facts = bigrams.where("types is not null").select("types", "own", "seen", "hot", "hot_kinds").collect()
     discounts = _discounts(_total(facts, "seen", 4))
-    followers = bigrams.select("part", "keys", "counts").groupBy("part").applyInArrow(_store_followers(folder), "seen array<bigint>, kinds array<bigint>")
+    followers = bigrams.select("part", "keys", "counts").groupBy("part").applyInArrow(_store_followers(folder), "own int, seen array<bigint>, kinds array<bigint>")
     followers = followers.collect()
     low = _discounts(_total(followers, "seen", 4))
     free = np.zeros(len(hot))
     for r in facts:
         at = np.searchsorted(hot, np.array(r.hot, np.int64).view(np.uint64))
         np.add.at(free, at, np.array(r.hot_kinds, float).reshape(-1, 3) @ np.array(discounts))
+    ranges = {"word": words, "count": words, "follower": followers, "follower_count": followers}
+    ranges |= dict.fromkeys(("bigram", "bigram_count", "context", "context_kinds"), facts)
+    have = {name: frozenset(r["part" if found is words else "own"] for r in found) for name, found in ranges.items()}
     return Model(
         folder, parts, total, types, discounts, low, sum(r.types for r in facts),
-        float(np.dot(_total(followers, "kinds", 3), low)), hot, free, starts,
+        float(np.dot(_total(followers, "kinds", 3), low)), hot, free, starts, have,
     )
 
 

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from corvane.llm import texts
-from corvane.llm.exchange import bucketed, shuffle_partitions
+from corvane.llm.exchange import bucketed, ranges_for, text_bytes
 
 WINDOW = 13
 LAST = np.iinfo(np.int64).max
@@ -144,8 +144,9 @@ def remove_repeated_windows(documents: DataFrame, n: int = WINDOW, give_text: bo
     A word goes if it lies in a window of ``n`` words that also starts in a document of a
     smaller id; the kept words are joined by single spaces.
     """
-    parts = shuffle_partitions(documents.sparkSession)
-    texts_by_bucket = bucketed(documents)
+    total = text_bytes(documents)
+    parts = ranges_for(documents.sparkSession, total)
+    texts_by_bucket = bucketed(documents, total)
     sent = texts_by_bucket.groupBy("bucket").applyInArrow(_sender(n, parts), SENT)
     answers = sent.groupBy("part").applyInArrow(_answer, ANSWER)
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + ", kept_text string" * give_text
