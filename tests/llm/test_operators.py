@@ -196,6 +196,51 @@ def test_token_trees(docs):
     same(got, expected)
 
 
+def test_leaves_are_cut_wherever_it_is_safe():
+    """Counts of leaves add up to those of the text, whatever the script; texts without blanks between letters have leaves, too."""
+    rng = random.Random(3)
+    signs = "ab1 ,.'\n\t中文。「é\u0301ſ½²_-s't  \u3000\xa0😀"
+    cases = ["".join(rng.choices(signs, k=300)) for _ in range(60)] + ["a, b. " * 300, "中文字，中文。" * 300, "it's we'll they'd' 's ''" * 60, "x" * 3000]
+    for text in cases:
+        cuts = token_trees.leaf_cuts(text, 7)
+        leaves = [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+        assert sum(len(encode(default_vocabulary(), x)) for x in leaves) == len(encode(default_vocabulary(), text)), text
+    assert len(token_trees.leaf_cuts("a, b. " * 5000)) > 50 and len(token_trees.leaf_cuts("中文字，中文。" * 3000)) > 40
+
+
+def test_candidates_and_features_against_brute_force(spark):
+    texts = ['key: token = "Ab1Cd2Ef3Gh4Ij5K" 42, x', "weg /usr/lib/Ab1Cd2Ef3Gh4Ij5K/x9 hier", "nothing here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = secrets.candidates(docs)
+    words = spark.createDataFrame([("usr",), ("lib",)], "part string")
+    pairs = secrets.common_pairs(found)
+    beside = " ".join(f"{r.before} {r.after}" for r in found.collect()).lower()
+    counted = collections.Counter(x for w in re.findall("[a-z]+", beside) for x in (w[k : k + 2] for k in range(len(w) - 1)))
+    assert pairs == pytest.approx({k: math.log10(v / sum(counted.values())) for k, v in counted.items()})
+    got = {r.doc_id: r for r in secrets.describe(found, words, pairs).collect()}
+    assert sorted(got) == [0, 1]
+    for r in got.values():
+        value = r.found
+        kinds = re.sub("[0-9]+", "0", re.sub("[A-Z]+", "A", re.sub("[a-z]+", "a", value)))
+        letters = [value.lower()[k : k + 2] for k in range(len(value) - 1) if re.fullmatch("[a-z]{2}", value.lower()[k : k + 2])]
+        expected = {
+            "n_chars": len(value), "n_runs": len(kinds), "digit_share": sum(c.isdigit() for c in value) / len(value),
+            "to_digit": len(re.findall("[A-Za-z](?=[0-9])", value)) / len(value), "to_upper": len(re.findall("[a-z](?=[A-Z])", value)) / len(value),
+            "pair_commonness": sum(pairs.get(x, secrets.RARE_PAIR) for x in letters) / max(1, len(letters)),
+            "before_chars": len(r.before), "after_chars": len(r.after), "rest_chars": len(r.word) - len(value),
+            "covered_share": sum(len(x) for x in re.findall("[a-z]{3,}", value.lower()) if x in ("usr", "lib")) / len(value),
+        }
+        assert {k: r[k] for k in expected} == pytest.approx(expected)
+    assert (got[0].announced, got[1].announced) == (1.0, 0.0)
+
+
+def test_dictionary_counts_documents(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["Haus haus", "haus Baum", "baum", None, "Haus"])], "doc_id bigint, text string")
+    parts = spark.createDataFrame([("haus",), ("haus",), ("nie",)], "part string")
+    assert [r.part for r in secrets.dictionary(docs, parts, 3).collect()] == ["haus"]
+    assert secrets.dictionary(docs, parts, 4).isEmpty()
+
+
 def test_ids_are_those_of_the_tokenizer_file():
     tokenizers = pytest.importorskip("tokenizers")
     tokenizer = tokenizers.Tokenizer.from_file(default_vocabulary())
@@ -240,6 +285,31 @@ def test_toxicity_learns_insults(spark):
     assert right >= 0.95 * len(scored)
 
 
+def test_toxicity_of_terms_that_are_neutral_apart(spark):
+    """The label depends only on whether both or neither of two words are there, so neither tells anything alone."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(3000):
+        text, insult, group = sentence(rng, 12).split(), rng.random() < 0.5, rng.random() < 0.5
+        text += ["insultx"] * insult + ["groupy"] * group
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), int(insult == group)))
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    scored = {r.doc_id: r.score for r in toxicity.score(labelled.where("doc_id >= 2400"), toxicity.fit(labelled.where("doc_id < 2400"))).collect()}
+    assert sum((scored[i] >= 0.5) == x for i, _, x in rows if i >= 2400) >= 0.9 * len(scored)
+
+
+def test_few_labels_of_a_kind_are_learned_from(spark):
+    """A thousandth of the rows is toxic: the sample keeps them."""
+    rng = random.Random(9)
+    rows = [(i, f"{sentence(rng, 10)} {'idiot' if i % 300 == 0 else 'freund'}", int(i % 300 == 0)) for i in range(9000)]
+    rows += [(None, "idiot", 1), (5, None, 0), (5, None, 0)]
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id bigint, text string, label int"), train_rows=400)
+    got = toxicity.score(spark.createDataFrame([(1, "du idiot"), (2, "du freund"), (3, None), (3, None)], "doc_id bigint, text string"), model).collect()
+    score = {r.doc_id: r.score for r in got}
+    assert score[1] > 0.5 > score[2] and len(got) == 4
+
+
 def test_language(spark):
     rng = random.Random(3)
     parts = {"en": "the ing tion er ed".split(), "de": "sch ein ung keit der".split(), "fr": "eau oi ez le ment".split(), "es": "ción ado os la ll".split()}
