@@ -1,7 +1,8 @@
 """Token counts that follow edits without encoding whole texts again.
 
 A document's text is cut into leaves at places where the tokenizer's pre-token split cannot
-depend on either side (a single space between two letters or digits). A segment tree holds the
+depend on either side: before a single space between two other characters, and between a letter or digit and a sign, as no pre-token
+reaches over these. A segment tree holds the
 leaves' token counts and their sums. An edit re-encodes only the leaves it touches, together with
 the neighbour where it comes within ``CONTEXT`` characters of a cut, and adds the difference
 to the sums on the way to the root. Counts equal those of encoding the edited text.
@@ -21,10 +22,13 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
-from corvane.llm.tokens import default_vocabulary, encode
+from corvane.llm.tokens import WHITE, default_vocabulary, encode
 
+# Between two characters that are no white space before a space, or after a letter or digit before a sign.
+SAFE = regex.compile(rf"(?<=[^{WHITE}])(?= [^{WHITE}])|(?<=[\p{{L}}\p{{N}}])(?=[^{WHITE}\p{{L}}\p{{N}}])")
 LEAF_CHARS = 400
 CONTEXT = 2
 
@@ -35,13 +39,9 @@ RECOUNTED = "doc_id bigint, n_tokens bigint, n_edits bigint, n_tokens_after bigi
 
 def leaf_cuts(text: str, size: int = LEAF_CHARS) -> list[int]:
     """Where leaves begin: 0, then the first safe place after each ``size`` characters."""
-    cuts, at = [0], size
-    while 0 < (at := text.find(" ", at)) < len(text) - 1:
-        if text[at - 1].isalnum() and text[at + 1].isalnum():
-            cuts.append(at)
-            at += size
-        else:
-            at += 1
+    cuts = [0]
+    while place := SAFE.search(text, cuts[-1] + size):
+        cuts.append(place.start())
     return cuts
 
 
