@@ -15,6 +15,7 @@ are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -155,8 +156,9 @@ def fit(documents: DataFrame, per_lang: int = TRAIN_PER_LANG) -> Model:
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return Model()
-    ranges = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int(min(1.0, per_lang / n) * (1 << 20)))])
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < ranges[F.col("lang")])
+    # Rounded up, so that a language of however many documents keeps a share.
+    ranges = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, math.ceil(min(1.0, per_lang / n) * (1 << 40)))])
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < ranges[F.col("lang")])
     sample = chosen.select("text", "lang").mapInArrow(_described, "lang string, features binary").collect()
     sample.sort(key=lambda r: (r.lang, r.features))
     features = np.stack([np.frombuffer(pa.decompress(r.features, 2 * BUCKETS, codec="zstd", asbytes=True), np.float16) for r in sample])
