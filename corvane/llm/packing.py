@@ -216,8 +216,10 @@ def pack(documents: DataFrame, vocabulary: str | None = None, capacity: int = CA
     spark = documents.sparkSession
     cut = written(pieces(documents, vocabulary, capacity), "pieces")
     blocks = -(-cut.count() // PIECES_PER_BLOCK) or 1
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "start"), F.lit(blocks)))
-    counts = cut.groupBy("length", "block").agg(F.count("*").alias("n"))
+    # Equal pieces, of repeated rows, are one row with its number of copies, so they are in no one's way.
+    cut = cut.groupBy(*cut.columns).agg(F.count("*").alias("copies"))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(blocks)))
+    counts = cut.groupBy("length", "block").agg(F.sum("copies").alias("n"))
     # At most ``capacity`` rows, whatever the corpus.
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     slots = spark.createDataFrame(
@@ -226,8 +228,10 @@ def pack(documents: DataFrame, vocabulary: str | None = None, capacity: int = CA
     )
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
-    within = Window.partitionBy("length", "block").orderBy("doc_id", "start", "ids_crc32")
-    ranked = cut.join(begins, ["length", "block"]).withColumn("rank", F.col("begin") + F.row_number().over(within) - 1)
+    within = Window.partitionBy("length", "block").orderBy("doc_id", "start", "ids_crc32", "doc_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("begin") + F.coalesce(F.sum("copies").over(within), F.lit(0))
+    ranked = cut.join(begins, ["length", "block"]).withColumn("first", first)
+    ranked = ranked.withColumn("rank", F.explode(F.sequence("first", F.col("first") + F.col("copies") - 1)))
     # The slots follow from at most ``capacity`` patterns and the left-over ones: bounded, whatever the corpus.
     placed = ranked.join(F.broadcast(slots), "length").where("rank >= low and rank < high")
     return placed.selectExpr(
