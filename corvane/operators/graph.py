@@ -70,14 +70,20 @@ def dangling_nodes(links: DataFrame, nodes: DataFrame | None = None) -> DataFram
     return node_table(links, nodes).where("out_degree = 0").select("id")
 
 
-def _hubs(links: DataFrame, own: str, hot_share: int = HUBS, least: int = MIN_HUB_LINKS) -> DataFrame:
-    """``(id)`` of the nodes with at least ``1 / hot_share`` of all links and no fewer than ``least``: at most ``hot_share`` rows.
+def find_hubs(rows: DataFrame, key: str, hot_share: int = HUBS, least: int = MIN_HUB_LINKS) -> tuple[list, int]:
+    """The keys of at least ``1 / hot_share`` of the rows and no fewer than ``least``, ``hot_share`` at most, and the number of rows.
 
     From a frequent-items sketch, whose error is below ``1 / hot_share``; it is merged from one of each task.
     """
-    sketch = links.agg(F.expr(f"approx_top_k({own}, {hot_share}, {SKETCH_ITEMS})").alias("top"), F.count("*").alias("total")).first()
+    sketch = rows.agg(F.expr(f"approx_top_k({key}, {hot_share}, {SKETCH_ITEMS})").alias("top"), F.count("*").alias("total")).first()
     limit = max(least, sketch["total"] // hot_share)
-    return links.sparkSession.createDataFrame([(x["item"],) for x in sketch["top"] or () if x["count"] >= limit], "id string")
+    return [x["item"] for x in sketch["top"] or () if x["count"] >= limit], sketch["total"]
+
+
+def _hubs(links: DataFrame, own: str, hot_share: int = HUBS, least: int = MIN_HUB_LINKS) -> DataFrame:
+    """``(id)`` of the nodes whose links no one task should hold."""
+    found, _ = find_hubs(links, own, hot_share, least)
+    return links.sparkSession.createDataFrame([(x,) for x in found], "id string")
 
 
 def _hub_places(rows: DataFrame) -> DataFrame:

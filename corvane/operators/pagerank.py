@@ -12,21 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvane.functions.scoring import BASE_RANK, DAMPING, FIRST_RANK, damped
-from corvane.operators.graph import link_counts, node_table
-from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
-from corvane.session import partitions_for, planned_ahead, prepare_checkpoints
-
-MASS = "coalesce(sum(case when out_degree = 0 then rank end), 0D)"
-# Different arcs per partition of their layout, some tens of megabytes.
-LINKS_PER_PARTITION = 500_000
-
-STATE = ("id", "out_degree", "out_links", "rank")
-
-
-def initial_state(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """Every node with rank 1."""
-    return node_table(links, nodes).withColumn("rank", F.lit(FIRST_RANK)).select(*STATE)
+from corvane.functions.scoring import BASE_RANK, DAMPING, damped
+from corvane.operators import rank_run
+from corvane.operators.graph import HUBS
+from corvane.operators.lookup import MIN_HOT_ROWS, attach
+from corvane.operators.rank_run import MASS, received, sent, shares, initial_state
+from corvane.session import prepare_checkpoints, scratch_path
 
 
 def laid_down(links: DataFrame, nodes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -40,24 +31,9 @@ def initial_ranks(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame
     return initial_state(links, nodes).select("id", "rank")
 
 
-def _shares(state: DataFrame) -> DataFrame:
-    """What each node with outgoing arcs sends along one arc."""
-    return state.where("out_degree > 0").selectExpr("id as src", "out_links", "rank / out_degree as share")
-
-
-def _sent(links_with_shares: DataFrame) -> DataFrame:
-    """``(id, contribution)``, one row per different arc."""
-    return links_with_shares.selectExpr("dst as id", "share * copies as contribution")
-
-
-def _received(sent: DataFrame) -> DataFrame:
-    """Sums per receiver; much linked nodes are summed up before the shuffle."""
-    return sent.groupBy("id").agg(F.sum("contribution").alias("contribution"))
-
-
 def contributions(links: DataFrame, state: DataFrame, **hot) -> DataFrame:
     """``(id, contribution)`` for the nodes that receive anything over arcs."""
-    return _received(_sent(attach(links, _shares(state), "src", "out_links", **hot)))
+    return received(sent(attach(links, shares(state), "src", "out_links", **hot)))
 
 
 def dangling_mass(state: DataFrame) -> DataFrame:
@@ -71,12 +47,12 @@ def _redistributed(state: DataFrame) -> Column:
 
 
 def _updated(
-    state: DataFrame, received: DataFrame, damping: float = DAMPING, base: float = BASE_RANK
+    state: DataFrame, gains: DataFrame, damping: float = DAMPING, base: float = BASE_RANK
 ) -> DataFrame:
     """``state`` with new ranks; a left join, since every node keeps its rank."""
     contribution = F.coalesce("contribution", F.lit(0.0))
     rank = damped(contribution, _redistributed(state), damping, base).alias("rank")
-    return state.join(received, "id", "left").select("id", "out_degree", "out_links", rank)
+    return state.join(gains, "id", "left").select("id", "out_degree", "out_links", rank)
 
 
 def pagerank_step(
@@ -91,58 +67,20 @@ def pagerank(
     nodes: DataFrame | None = None,
     iterations: int = 10,
     unique_arcs: bool = False,
-    max_hot: int = MAX_HOT,
+    max_hot: int = HUBS,
     min_hot_rows: int = MIN_HOT_ROWS,
     damping: float = DAMPING,
     base: float = BASE_RANK,
+    tolerance: float | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """``(id, rank)`` after a fixed number of iterations.
+    """``(id, rank)`` after a number of iterations, or after the first in which no rank changes by more than ``tolerance``.
 
     A node keeps ``base`` and gets ``damping`` times what it receives; the ranks sum up to
     the number of nodes if the two sum up to 1.
 
-    Arcs are laid out once, partitioned and sorted by source, and kept; the nodes'
-    state has the same layout and keeps it from iteration to iteration. Arcs and
-    state then meet in place, and per iteration only the contributions move,
-    summed up within each task before. The few sources with very many arcs stay
-    out of that layout: their arcs lie evenly over the partitions and get the
-    shares by broadcast. Each new state is checkpointed, which ends its lineage
-    and keeps it through the loss of executors.
+    ``run`` is a folder that keeps arcs, states and progress (``rank_run.progress``). A folder with a run in it is gone on
+    with from its last written state, with its own arcs; without a folder a new one is used.
     """
-    spark = arcs.sparkSession
-    prepare_checkpoints(spark)
-
-    links = link_counts(arcs, unique_arcs).persist()
-    kept = [links]
-    try:
-        all_links = links.count()
-        partitions = partitions_for(spark, all_links, LINKS_PER_PARTITION)
-        with planned_ahead(spark, partitions):
-            state = initial_state(links, nodes).checkpoint()
-            limit = max(all_links / max_hot, float(min_hot_rows))
-            is_hub = F.col("out_links") > limit
-            has_hubs = not state.where(is_hub).isEmpty()
-
-            plain_links = links
-            if has_hubs:
-                hubs = F.broadcast(state.where(is_hub).selectExpr("id as src"))
-                plain_links = links.join(hubs, "src", "left_anti")
-                hub_links = links.join(hubs, "src", "left_semi").repartition(partitions, "src", "dst").persist()
-                kept.append(hub_links)
-            laid_out = plain_links.repartition(partitions, "src").sortWithinPartitions("src").persist()
-            kept.append(laid_out)
-            for frame in kept[1:]:
-                frame.count()
-            links.unpersist()
-
-            for _ in range(iterations):
-                shares = _shares(state)
-                sent = _sent(laid_out.join(shares.hint("merge"), "src"))
-                if has_hubs:
-                    by_hubs = hub_links.join(F.broadcast(shares.where(is_hub)), "src")
-                    sent = sent.unionByName(_sent(by_hubs))
-                state = _updated(state, _received(sent).hint("merge"), damping, base).checkpoint()
-    finally:
-        for frame in kept:
-            frame.unpersist()
-    return state.select("id", "rank")
+    folder = run or scratch_path(arcs.sparkSession, "pagerank")
+    return rank_run.ranks(arcs, nodes, folder, iterations, unique_arcs, min(max_hot, HUBS), min_hot_rows, damping, base, tolerance)

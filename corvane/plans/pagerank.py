@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions.scoring import BASE_RANK, DAMPING
+from corvane.operators import rank_run
 from corvane.operators.graph import adjacency, corpus_arcs, link_counts
 from corvane.operators.pagerank import pagerank
 from corvane.operators.ranking import top_k
@@ -47,10 +48,14 @@ def pagerank_job(
     strict: bool = False,
     arc_count: LineCount | None = None,
     node_count: LineCount | None = None,
+    tolerance: float | None = None,
+    run: str | None = None,
 ) -> DataFrame:
     """Write the ranked list of the best pages and, if asked for, all ranks; these are also returned."""
     nodes = read_nodes(spark, nodes_path, strict, node_count)
-    ranks = pagerank(read_arcs(spark, arcs_path, strict, arc_count), nodes, iterations, unique_arcs, damping=damping, base=base)
+    if run and rank_run.states(spark, run):
+        arc_count = None  # a run that goes on has its arcs already
+    ranks = pagerank(read_arcs(spark, arcs_path, strict, arc_count), nodes, iterations, unique_arcs, damping=damping, base=base, tolerance=tolerance, run=run)
     write_ranked_tsv(best_pages(ranks, nodes, k), best_path)
     if all_path:
         write_tsv(ranks, all_path)

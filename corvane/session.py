@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,22 +70,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
     """Partitions for this many rows: work for all cores, and none larger than asked for."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
-
-
-@contextmanager
-def planned_ahead(spark: SparkSession, partitions: int) -> Iterator[None]:
-    """Every shuffle with this many partitions and none changed on the way.
-
-    For loops over data that is laid out on purpose. A result planned adaptively
-    does not say how it is partitioned, so what is checkpointed from it would be
-    shuffled again by its next reader.
-    """
-    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)

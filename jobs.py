@@ -44,6 +44,8 @@ def parser() -> argparse.ArgumentParser:
     rank.add_argument("--unique-arcs", action="store_true", help="count repeated arcs once")
     rank.add_argument("--damping", type=float, default=DAMPING, help="share of rank that travels over arcs")
     rank.add_argument("--base", type=float, default=BASE_RANK, help="rank that every node keeps")
+    rank.add_argument("--tolerance", type=float, help="stop when no rank changes by more")
+    rank.add_argument("--run", help="folder that keeps arcs and states; a run in it is gone on with")
     rank.add_argument("--top", type=int, default=100)
     rank.add_argument("--all", help="folder for every node's rank")
     rank.add_argument("--out", default="pagerank", help="folder for the ranked list")
@@ -92,6 +94,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> list[LineCount]:
             options.base,
             options.strict,
             *counts,
+            options.tolerance,
+            options.run,
         )
     elif options.job == "throughput":
         counts = [LineCount("logs")]

@@ -72,6 +72,10 @@ def test_jobs_tell_the_rejected_lines(spark, tmp_path):
     ranked = run_counted(spark, "pagerank", tmp_path / "arcs", tmp_path / "nodes", "--iterations", 1, "--out", tmp_path / "ranks")
     assert ranked == ["arcs: 4 lines, 2 rejected", "nodes: 3 lines, 1 rejected"]
 
+    for told in ("arcs: 4 lines, 2 rejected", "arcs: not read"):  # a run that goes on has its arcs
+        ranked = run_counted(spark, "pagerank", tmp_path / "arcs", tmp_path / "nodes", "--iterations", 1, "--run", tmp_path / "run", "--out", tmp_path / "ranks")
+        assert ranked == [told, "nodes: 3 lines, 1 rejected"]
+
     (tmp_path / "logs").mkdir()
     (tmp_path / "logs" / "test.3.log").write_text("[Test]\ntype=x\n[Minute 1]\na=1\nnot a value\n")
     reported = run_counted(spark, "throughput", tmp_path / "logs", "--out", tmp_path / "report")

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from corvane.operators import pagerank as P
+from corvane.operators import rank_run
 from corvane.plans.pagerank import best_pages, pagerank_job
 from test_graph import EVERY_KEY_HOT, LIST, SOME_KEYS_HOT, links_of, nodes_of
 
@@ -96,23 +97,56 @@ def test_no_arcs_at_all(spark):
     assert rounded(P.pagerank(arcs_of(spark, []), nodes_of(spark, ["x", "y"]), iterations=2)) == {"x": 1.0, "y": 1.0}
 
 
-def test_only_contributions_move_in_an_iteration(spark, monkeypatch):
-    """Arcs and state lie where they are needed: one keyed shuffle per iteration."""
-    plans = []
-    frame = type(spark.range(1))
-    checkpoint = frame.checkpoint
-
-    def watched(self, *args):
-        plans.append(self._jdf.queryExecution().executedPlan().toString())
-        return checkpoint(self, *args)
-
-    monkeypatch.setattr(frame, "checkpoint", watched)
-    P.pagerank(arcs_of(spark, LIST), iterations=3)
-    iteration = plans[-1]
-    own = [line for line in iteration.split("InMemoryRelation")[0].splitlines()]
-    after_cache = iteration.rsplit("== Initial Plan ==", 1)[-1]
-    assert sum("Exchange hashpartitioning" in line for line in own) == 1
-    assert "Exchange hashpartitioning(id" not in after_cache.split("Scan ExistingRDD")[-1]
+def test_only_contributions_move_in_an_iteration(spark, tmp_path):
+    """Arcs and state lie where they are needed: one keyed shuffle per iteration, and neither is sorted again."""
+    folder = str(tmp_path / "run")
+    P.pagerank(arcs_of(spark, LIST), iterations=1, run=folder)
+    (buckets,) = {r.buckets for r in rank_run.progress(spark, folder).collect()}
+    own, tables = rank_run.loop_session(spark, buckets), rank_run._Tables(buckets)
+    links = own.table(tables.stored(own, f"{folder}/arcs", rank_run.LINK_COLUMNS, "src"))
+    state = own.table(tables.stored(own, f"{folder}/state-1", rank_run.STATE_COLUMNS, "id"))
+    plan = rank_run.next_state(links, state, None, None, 0.0, 0.85, 0.15)._jdf.queryExecution().executedPlan().toString()
+    tables.forget(own)
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange") == 1
+    assert plan.count("Sort [") == 1  # of what was received
+    assert not spark.catalog.listTables()
+
+
+@pytest.mark.parametrize("hot", [{}, SOME_KEYS_HOT])
+def test_a_run_goes_on_from_its_last_state(spark, tmp_path, hot):
+    random.seed(4)
+    arcs = [("hub", f"n{i}") for i in range(60)] + [(f"n{random.randrange(25)}", f"n{random.randrange(60)}") for _ in range(120)]
+    folder = str(tmp_path / "run")
+    first = P.pagerank(arcs_of(spark, arcs), iterations=5, run=folder, **hot)
+    assert rounded(first) == brute_force(arcs, [], 5)
+    # A state without its row of progress was broken off and is written anew.
+    spark.range(3).write.parquet(f"{folder}/state-6")
+    nothing = arcs_of(spark, [])  # the arcs are those of the run
+    assert rounded(P.pagerank(nothing, iterations=8, run=folder, **hot)) == brute_force(arcs, [], 8)
+    assert [r.iteration for r in rank_run.progress(spark, folder).collect()] == list(range(9))
+    assert rounded(P.pagerank(nothing, iterations=5, run=folder, **hot)) == brute_force(arcs, [], 5)
+    assert not spark.catalog.listTables()
+
+
+def test_every_iteration_tells_its_mass_and_change(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    P.pagerank(arcs_of(spark, LIST), nodes_of(spark, ["alone"]), iterations=4, run=folder)
+    told = rank_run.progress(spark, folder).collect()
+    assert [r.nodes for r in told] == [6] * 5 and [r.mass for r in told] == [pytest.approx(6)] * 5
+    before = dict.fromkeys(brute_force(LIST, ["alone"], 0), 1.0)
+    for r in told[1:]:
+        after = brute_force(LIST, ["alone"], r.iteration)
+        assert r.change == pytest.approx(max(abs(after[n] - before[n]) for n in after), abs=2e-6)
+        assert r.dangling == pytest.approx(after["e"] + after["alone"], abs=2e-6)
+        before = after
+
+
+def test_a_run_stops_when_ranks_hardly_change(spark, tmp_path):
+    folder = str(tmp_path / "run")
+    ranks = P.pagerank(arcs_of(spark, LIST), iterations=200, tolerance=1e-3, run=folder)
+    told = [r for r in rank_run.progress(spark, folder).collect() if r.iteration]
+    assert 5 < len(told) < 60 and told[-1].change <= 1e-3 < told[-2].change
+    assert rounded(ranks) == brute_force(LIST, [], len(told))
 
 
 def test_job_writes_titles_in_rank_order(spark, tmp_path):

@@ -24,13 +24,14 @@ def test_a_cluster_must_name_a_folder():
     assert S.shared_folder(fake(master="local[2]")).startswith(tempfile.gettempdir())
 
 
-def test_settings_come_back_even_after_a_failure(spark):
-    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+def test_a_session_of_its_own_leaves_the_others_settings(spark, changed):
+    changed("spark.sql.autoBroadcastJoinThreshold", "12345")
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")
     before = [spark.conf.get(k) for k in keys]
-    with pytest.raises(RuntimeError), S.planned_ahead(spark, 3):
-        assert [spark.conf.get(k) for k in keys] == ["false", "3"]
-        raise RuntimeError
+    own = S.session_like(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "3"})
+    assert [own.conf.get(k) for k in keys] == ["false", "3", "12345"]
     assert [spark.conf.get(k) for k in keys] == before
+    assert own.sparkContext is spark.sparkContext
 
 
 def test_partitions_follow_the_rows(spark, changed):
