@@ -122,6 +122,20 @@ def oracle_sql() -> dict[str, str]:
         "tfidf_topk": DOCUMENTS
         + f"""SELECT title, round(tf * ln(n / df), 6) AS tfidf {SCORED} WHERE word = '{TERM}'
 ORDER BY tf DESC, title LIMIT 100""",
+        "tfidf_of_index": DOCUMENTS
+        + f"SELECT title, round(tf * ln(n / df), 6) AS tfidf {SCORED} WHERE word = '{TERM}'",
+        "tfidf_top_titles": DOCUMENTS + f"""SELECT word, title, round(tf * ln(n / df), 6) AS tfidf, rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY word ORDER BY tf DESC, title) AS INTEGER) AS rank {SCORED}) WHERE rank <= 100""",
+        "tfidf_added": f"""WITH {_words("CAST(conv_id AS VARCHAR)", "coalesce(text, '')", "conversations")},
+df AS (SELECT word, count(*) AS df FROM tf GROUP BY ALL),
+n AS (SELECT count(DISTINCT conv_id) AS n FROM conversations)
+SELECT word, title, tf, df, round(tf * ln(n / df), 6) AS tfidf {SCORED}""",
+        "published_degrees": _degrees(TRADE),
+        "pagerank_progress": ten + " UNION ALL ".join(
+            f"""SELECT {i} AS iteration, round((SELECT sum(rank) FROM r{i}), 6) AS mass,
+  round((SELECT sum(rank) FROM r{i} JOIN dangling USING (id)), 6) AS dangling,
+  round((SELECT max(abs(r{i}.rank - r{i - 1}.rank)) FROM r{i} JOIN r{i - 1} USING (id)), 6) AS change"""
+            for i in range(1, 11)),
         "link_graph": PAGES + " SELECT src, dst FROM arcs",
         "adjacency": TRADE + LISTS + "SELECT id, part, neighbors FROM out_parts",
         "adjacency_parts": TRADE + SHORT_LISTS + "SELECT id, part, neighbors FROM out_parts",

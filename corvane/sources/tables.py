@@ -115,6 +115,14 @@ def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("doc_id", F.concat_ws(" ", F.lit("Document"), "doc_id").alias("title"), "lang", text.alias("text"))
 
 
+def conversation_batches(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Conversations as documents that go on: their first turns, their second ones, and all later ones."""
+    turns = table(spark, folder, "conversations").where("conv_id is not null and turn is not null")
+    first = turns.agg(F.min("turn")).first()[0] or 0
+    rows = turns.selectExpr("cast(conv_id as string) as title", "coalesce(text, '') as text", "turn")
+    return [rows.where(which).select("title", "text") for which in (f"turn = {first}", f"turn = {first + 1}", f"turn > {first + 1}")]
+
+
 def trade_arc_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The arcs of ``trade_arcs`` as lines, with an empty target where a supplier serves nobody."""
     return _trade_pairs(spark, folder).selectExpr("coalesce(src, '') as src", "coalesce(dst, '') as dst")
