@@ -60,8 +60,8 @@ BAND = 1.6
 # 64-bit words of the short sketch that a pair is judged by before its sets are read.
 SKETCH_WORDS = 8
 # Bytes of text handled together, segments that a task holds before it sends them, and about how many a range gets.
-BLOCK_BYTES = 2 << 20
-SEGMENTS_HELD = 2 << 20
+BLOCK_BYTES = 1 << 20
+SEGMENTS_HELD = 1 << 20
 SEGMENTS_PER_RANGE = 2_000_000
 # Classes of one segment that are compared in one task, and one in how many classes is sampled for segments with more.
 CELL = 1 << 15

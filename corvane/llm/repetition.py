@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 
 from corvane.llm import texts
 
+# Bytes of text measured together: some twenty numbers of 8 bytes are held for each.
+BLOCK_BYTES = 1 << 20
 MIN_WORDS = 20
 BASE_WINDOW, BASE_PERCENT = 8, 30
 # Largest share of the words' characters that duplicated n-grams of a length may hold.
@@ -97,7 +99,7 @@ def _measure(block: texts.Block) -> dict[str, np.ndarray]:
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows, block in texts.blocks(batches):
+    for rows, block in texts.blocks(batches, size=BLOCK_BYTES):
         values = _measure(block)
         yield pa.RecordBatch.from_arrays([rows["doc_id"], *map(pa.array, values.values())], ["doc_id", *values])
 
@@ -111,7 +113,7 @@ def kept_documents(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` whose text passes, with all their columns."""
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, block in texts.blocks(batches):
+        for rows, block in texts.blocks(batches, size=BLOCK_BYTES):
             yield rows.filter(pa.array(_measure(block)["kept"]))
 
     return documents.mapInArrow(passing, documents.schema)

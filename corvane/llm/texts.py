@@ -9,6 +9,7 @@ run of symbols is one subtraction and one product, and are mixed once more.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 4 << 20
+# Powers that a worker keeps from block to block; making them anew takes little beside what they are used for.
+KEPT_POWERS = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -52,14 +55,14 @@ _powers: dict[str, np.ndarray] = {}
 
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
-    """``base ** 0 .. base ** (n - 1)``; kept for the next block."""
+    """``base ** 0 .. base ** (n - 1)``; kept for the next block where they are not many."""
     have = _powers.get(name)
     if have is None or len(have) < n:
         steps = np.full(max(n, 1 << 16), base, np.uint64)
         steps[0] = 1
-        have = _powers[name] = np.multiply.accumulate(steps)
-        if n > 4 * BLOCK_BYTES:  # one very long text: not kept
-            del _powers[name]
+        have = np.multiply.accumulate(steps)
+        if n <= KEPT_POWERS:
+            _powers[name] = have
     return have[:n]
 
 
@@ -111,6 +114,13 @@ def text_block(column: pa.Array | pa.ChunkedArray) -> Block:
     return Block(raw[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
+def give_back() -> None:
+    """Return what was freed to the system: workers outlive their tasks and share their executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, Block]]:
     """The rows of the batches in blocks of about ``size`` bytes of text; a longer text is a block of its own."""
     for batch in batches:
@@ -122,6 +132,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             offsets = whole.offsets[begin : end + 1]
             yield batch.slice(begin, end - begin), Block(whole.data[offsets[0] : offsets[-1]], offsets - offsets[0])
             begin = end
+        del batch, whole
+        give_back()
 
 
 def find_words(block: Block, table: np.ndarray = NOT_SPACE) -> Words:
