@@ -30,6 +30,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _fold(folds: int) -> Column:
+    """The remainder that decides what is learned from; null for a row without id, so its ``held_out`` is null, too."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
 
 

@@ -4,11 +4,12 @@ Candidates are long runs of letters, digits and a few signs that hold a digit or
 well-known credential, and any value that an announcing word and ``=`` or ``:`` stand before,
 whatever its length and signs: in quotes up to the closing one on its line, else up to a space, without
 closing commas, quotes and brackets. Each is described
-by its length and runs of character classes, by how much of it words of a dictionary
-cover, by path signs and by the words around it. The forest is trained on labelled findings;
+by its length and runs of character classes, by how often one class follows the other and how common its pairs of letters are in the
+words beside values, by how much of it words of a dictionary cover, by path signs and by the words around it: whether these announce
+and assign it, how long they are and what they consist of. The forest is trained on labelled findings;
 ``labelled`` makes such labels from the forms of well-known credentials and of harmless
-numbers. Of such labels the forest learns by the value alone and does not see whether it was announced
-and assigned, as that is what they were given for; findings labelled by others are learned from with these
+numbers. Of such labels the forest learns by the value and does not see the words around it, as secrets are known
+by these there, and a number that is announced would pass for one; findings labelled by others are learned from with these
 features too. Everything is DataFrame functions and Spark's own forest; no Python runs over rows.
 
 The dictionary holds the words of all documents that occur in ``MIN_DOCS`` of them. Training
@@ -32,12 +33,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.exchange import numbered, written
+from corvane.llm.exchange import free_name, text_hash, written
 
 MIN_DOCS = 5
 TRAIN_ROWS = 20_000
 TREES, DEPTH = 20, 6
 THRESHOLD = 0.5
+# Different parts of values that are sent to all tasks at most, and what a pair of letters counts that no neighbour has.
+MOST_SENT = 200_000
+RARE_PAIR = -6.0
 MASK = "[secret]"
 
 # What a candidate is, credential forms, harmless forms, and words that announce a credential.
@@ -59,10 +63,15 @@ ASSIGNED = r"(?i)^:|(?:pass(?:word|wd|phrase|code)?|secret|token|api[_\-]?key|cr
 MARK = "\uFDD0"
 SPACES = r"[\x09-\x0D\x20]+"
 
-FEATURES = ["n_chars", "n_runs", "runs_per_char", "digit_share", "upper_share", "covered_share", "path_signs", "announced", "quoted", "assigned"]
+FEATURES = [
+    "n_chars", "n_runs", "runs_per_char", "digit_share", "upper_share", "covered_share", "path_signs", "announced", "quoted", "assigned",
+    "to_digit", "to_letter", "to_upper", "to_lower", "pair_commonness",
+    "rest_chars", "before_chars", "after_chars", "before_digits", "after_digits", "before_signs", "after_signs",
+]
 
-# Those that ``labelled`` does not go by.
-FEATURES_OF_VALUE = [x for x in FEATURES if x not in ("announced", "assigned")]
+# Those that tell nothing of whether a value is announced, which ``labelled`` goes by.
+BESIDE = ("announced", "assigned", "rest_chars", "before_chars", "after_chars", "before_digits", "after_digits", "before_signs", "after_signs")
+FEATURES_OF_VALUE = [x for x in FEATURES if x not in BESIDE]
 
 
 def candidates(documents: DataFrame) -> DataFrame:
@@ -90,32 +99,60 @@ def candidates(documents: DataFrame) -> DataFrame:
     )
 
 
-def dictionary(documents: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``(part)``: runs of letters that ``min_docs`` documents hold as words."""
+def value_parts(found: DataFrame) -> DataFrame:
+    """``(found, part)``: the runs of letters in different values."""
+    return found.select("found").distinct().select("found", F.explode(F.regexp_extract_all(F.lower("found"), F.lit("[a-z]{3,}+"), F.lit(0))).alias("part"))
+
+
+def dictionary(documents: DataFrame, parts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``(part)``: those of ``parts`` that ``min_docs`` documents hold as words.
+
+    Where the different parts are few enough to be sent to all tasks, only their own words are moved, else those of all texts, combined in the tasks.
+    """
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text").cast("string")), F.lit(r"[a-z]{3,}+"), F.lit(0)))
-    counted = documents.select(F.explode(words).alias("part")).groupBy("part").count()
-    return counted.where(F.col("count") >= min_docs).select("part")
+    words = documents.select(F.explode(words).alias("part"))
+    asked = written(parts.select("part").distinct(), "parts")
+    if asked.count() <= MOST_SENT:
+        words = words.join(F.broadcast(asked), "part", "left_semi")
+    counted = words.groupBy("part").count()
+    return counted.where(F.col("count") >= min_docs).join(asked, "part", "left_semi").select("part")
+
+
+def common_pairs(found: DataFrame) -> dict[str, float]:
+    """How common each pair of letters is in the words beside the values, as a logarithm; no more than 26 x 26 of them."""
+    beside = F.lower(F.concat_ws(" ", "before", "after"))
+    pairs = found.select(F.explode(F.regexp_extract_all(beside, F.lit("(?=([a-z][a-z]))"), F.lit(1))).alias("pair")).groupBy("pair").count().collect()
+    total = sum(r["count"] for r in pairs)
+    return {r["pair"]: math.log10(r["count"] / total) for r in pairs}
 
 
-def describe(found: DataFrame, words: DataFrame) -> DataFrame:
+def describe(found: DataFrame, words: DataFrame, pairs: dict[str, float]) -> DataFrame:
     """The candidates with the forest's features."""
-    values = found.select("found").distinct()
-    parts = values.select("found", F.explode(F.regexp_extract_all(F.lower("found"), F.lit("[a-z]{3,}+"), F.lit(0))).alias("part"))
-    covered = parts.join(words, "part").groupBy("found").agg(F.sum(F.length("part")).alias("covered"))
+    covered = value_parts(found).join(words, "part").groupBy("found").agg(F.sum(F.length("part")).alias("covered"))
     runs = F.col("found")
     for kind, sign in (("[a-z]+", "a"), ("[A-Z]+", "A"), ("[0-9]+", "0")):
         runs = F.regexp_replace(runs, kind, sign)
     n = F.length("found")
-    share = lambda pattern: F.length(F.regexp_replace("found", pattern, "")) / n
+    share = lambda column, pattern: F.length(F.regexp_replace(column, pattern, "")) / F.greatest(F.length(column), F.lit(1))
     flag = lambda c: c.cast("double")
+    chars = lambda c: F.length(c).cast("double")
+    changes = lambda one, other: F.regexp_count("found", F.lit(f"{one}(?={other})")) / n
+    known = F.create_map(*(F.lit(x) for pair in pairs.items() for x in pair)) if pairs else F.create_map().cast("map<string,double>")
+    own_pairs = F.regexp_extract_all(F.lower("found"), F.lit("(?=([a-z][a-z]))"), F.lit(1))
+    common = F.aggregate(own_pairs, F.lit(0.0), lambda total, pair: total + F.coalesce(F.try_element_at(known, pair), F.lit(RARE_PAIR)))
     return found.join(covered, "found", "left").select(
         *found.columns, n.cast("double").alias("n_chars"), F.length(runs).cast("double").alias("n_runs"),
-        (F.length(runs) / n).alias("runs_per_char"), share("[^0-9]+").alias("digit_share"), share("[^A-Z]+").alias("upper_share"),
+        (F.length(runs) / n).alias("runs_per_char"), share("found", "[^0-9]+").alias("digit_share"), share("found", "[^A-Z]+").alias("upper_share"),
         (F.coalesce("covered", F.lit(0)) / n).alias("covered_share"),
         F.length(F.regexp_replace("word", r"[^/.@:]+", "")).cast("double").alias("path_signs"),
         flag(F.concat_ws(" ", "before", F.replace("word", "found", F.lit(""))).rlike(ANNOUNCING)).alias("announced"),
         flag(F.contains("word", F.lit('"')) | F.contains("word", F.lit("'"))).alias("quoted"),
         flag(F.contains("word", F.lit("=")) | F.rlike("before", F.lit("(?i)[=:>](?: bearer| basic)?$")) | F.rlike("word", F.lit(ASSIGNED))).alias("assigned"),
+        changes("[A-Za-z]", "[0-9]").alias("to_digit"), changes("[0-9]", "[A-Za-z]").alias("to_letter"), changes("[a-z]", "[A-Z]").alias("to_upper"), changes("[A-Z]", "[a-z]").alias("to_lower"),
+        (common / F.greatest(F.size(own_pairs), F.lit(1))).alias("pair_commonness"),
+        (F.length("word") - n).cast("double").alias("rest_chars"), chars("before").alias("before_chars"), chars("after").alias("after_chars"),
+        share("before", "[^0-9]+").alias("before_digits"), share("after", "[^0-9]+").alias("after_digits"),
+        share("before", r"[\p{L}\p{N} ]+").alias("before_signs"), share("after", r"[\p{L}\p{N} ]+").alias("after_signs"),
     )
 
 
@@ -145,10 +182,12 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, train_rows: in
     ``findings`` are labelled candidates ``(found, before, after, word, label)``; without them
     ``labelled`` provides the labels.
     """
-    words = dictionary(documents)
-    # Written once: training, its counts and the verdicts all read it.
-    described = written(describe(candidates(documents), words), "candidates")
-    taught = labelled(described) if findings is None else describe(findings, words)
+    # Written once each: features, training, its counts and the verdicts all read them.
+    found = written(candidates(documents), "found")
+    parts = value_parts(found) if findings is None else value_parts(found.select("found").unionByName(findings.select("found")))
+    words, pairs = written(dictionary(documents, parts), "dictionary"), common_pairs(found)
+    described = written(describe(found, words, pairs), "candidates")
+    taught = labelled(described) if findings is None else describe(findings, words, pairs)
     features = FEATURES_OF_VALUE if findings is None else FEATURES
     sample = training_sample(taught.select("found", "label", *features), train_rows)
     labels = [r.label for r in sample.select("label").distinct().collect()]
@@ -164,17 +203,16 @@ def scan(documents: DataFrame, findings: DataFrame | None = None, train_rows: in
 
 def redact(documents: DataFrame, mask: str = MASK) -> DataFrame:
     """``documents`` with the secrets found in each row's ``text`` replaced there; all rows and columns stay."""
-    rows = numbered(documents, "_row")
-    secrets = scan(rows.selectExpr("_row as doc_id", "text")).where("is_secret").select("doc_id", "found").distinct()
-    # Longest first, so that none is left in part; a list holds one row's findings and is bounded by its text.
-    listed = secrets.groupBy("doc_id").agg(F.collect_list(F.struct(-F.length("found"), "found")).alias("secrets"))
-    listed = listed.select(F.col("doc_id").alias("_row"), F.expr("transform(sort_array(secrets), x -> x.found)").alias("_secrets"))
-    joined = rows.join(listed, "_row", "left")
+    key, listed_as = free_name(documents, "text_hash"), free_name(documents, "secrets")
+    found = scan(documents.select(text_hash().alias("doc_id"), "text")).where("is_secret").select("doc_id", "found").distinct()
+    # Longest first, so that none is left in part; a list holds one text's findings and is bounded by it.
+    listed = found.groupBy("doc_id").agg(F.collect_list(F.struct(-F.length("found"), "found")).alias("listed"))
+    listed = listed.select(F.col("doc_id").alias(key), F.expr("transform(sort_array(listed), x -> x.found)").alias(listed_as))
+    joined = documents.withColumn(key, text_hash()).join(listed, key, "left")
     # Long runs are masked wherever they stand, other values, which may be short or plain words, only where they are announced.
     exactly = lambda secret: F.concat(F.lit("\\Q"), F.replace(secret, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
     announced = lambda secret: F.concat(F.lit(f"({BEFORE_VALUE}[\"']?)"), exactly(secret))
     put = "$1" + mask.replace("\\", "\\\\").replace("$", "\\$")
     masked = lambda text, secret: F.when(secret.rlike(f"^{CANDIDATE}$"), F.replace(text, secret, F.lit(mask))).otherwise(F.regexp_replace(text, announced(secret), F.lit(put)))
-    clean = F.aggregate("_secrets", F.col("text"), masked)
-    text = F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(clean)
-    return joined.select(*(text.alias(c) if c == "text" else F.col(c) for c in documents.columns))
+    clean = F.aggregate(listed_as, F.col("text").cast("string"), masked)
+    return joined.withColumn("text", F.when(F.col(listed_as).isNull(), F.col("text")).otherwise(clean)).drop(key, listed_as)
