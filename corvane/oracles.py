@@ -9,6 +9,7 @@ TERM = "the"
 TARGET = 200.005
 
 
+# In the text, fixed values: the patterns of a tag, of a written-out line break and of what separates words.
 def _words(title: str, text: str, table: str) -> str:
     return f"""
 words AS (
