@@ -135,7 +135,7 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
         p = np.clip(y.mean() if len(y) else 0.5, 1e-3, 1 - 1e-3)
         return Model(float(np.log(p / (1 - p))), np.zeros(0, np.int64), np.zeros(0), np.zeros((0, FACTORS)))
     first = np.concatenate([[0], np.cumsum([len(r.terms) // 4 for r in sample])])
-    terms = np.frombuffer(b"".join(r.terms for r in sample), "<u4").astype(np.int32)
+    terms = np.frombuffer(b"".join(r.terms for r in sample), "<i4")
     del sample
     toxic = np.bincount(terms[first[np.searchsorted(y, 1)] :], minlength=BUCKETS)  # rows are sorted by label
     seen, share = np.bincount(terms, minlength=BUCKETS), y.mean()
@@ -145,10 +145,11 @@ def fit(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     place = np.full(BUCKETS, -1, np.int32)
     place[used] = np.arange(len(used))
     column = place[terms]
-    kept = column >= 0
-    first = np.concatenate([[0], np.cumsum(kept)])[first]
-    column = column[kept]
-    del terms, kept
+    del terms
+    kept = [column[a:b][column[a:b] >= 0] for a, b in pairwise(first)]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in kept])])
+    column = np.concatenate(kept)
+    del kept
     owner = np.repeat(np.arange(len(y)), np.diff(first))
     bias, weights, factors = _descend(column, owner, first, y, len(used))
     return Model(bias, used, weights.astype(np.float32), factors.astype(np.float32))
