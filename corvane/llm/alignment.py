@@ -4,8 +4,9 @@ Both tokenizers cut the same bytes. The incidence matrix of a text has a row per
 per byte; for tokenizers A and B the product A x B' of these, by Gustavson's row products over
 compressed rows (``csr.py``), has an entry for each pair of tokens that overlap, its value the bytes
 they share. Overlapping tokens that end at the same byte are linked; where that happens the text falls
-into groups, the smallest pieces that both cut alike. The incidence matrices of tokens and groups
-multiply to the pairs of tokens that share a group.
+into groups, the smallest pieces that both cut alike. The incidence matrix of groups and bytes times that
+of bytes and tokens gives the tokens of each group, for A and for B, and these two matrices multiply to the
+pairs of tokens that share a group.
 
 One pass encodes every text; its digest and its packed links are written. Links are counted by pair of
 ids over the whole corpus: tasks add up what they hold before anything is moved, so a pair that every
@@ -110,9 +111,19 @@ def end_links(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.concatenate([*x, np.zeros(0, np.int64)]) for x in (zip(*found, strict=True) if found else ((), ())))
 
 
+def _members(groups: Csr, side: Side) -> Csr:
+    """The matrix of groups (rows) and the tokens that share a byte with them: the product of the incidence matrices of groups and tokens with bytes."""
+    found = [(g, i) for g, i, _ in row_products(groups, runs(side.lengths).transposed())]
+    rows, tokens = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (zip(*found, strict=True) if found else ((), ())))
+    indptr = np.zeros(len(groups) + 1, np.int64)
+    np.cumsum(np.bincount(rows, minlength=len(groups)), out=indptr[1:])
+    return Csr(indptr, tokens, len(side.ids))
+
+
 def group_incidence(a: Side, b: Side, links: tuple[np.ndarray, np.ndarray]) -> tuple[Csr, Csr]:
-    """For A and for B the matrix of groups (rows) and their tokens; a group ends with a link."""
-    return tuple(runs(np.diff(ends + 1, prepend=0)) for ends in links)
+    """For A and for B the matrix of groups (rows) and their tokens; a group holds the bytes up to where a link ends."""
+    groups = runs(np.diff(a.ends[links[0]], prepend=0))
+    return _members(groups, a), _members(groups, b)
 
 
 def shared_groups(groups_a: Csr, groups_b: Csr) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -144,7 +155,9 @@ def _aligner(path_a: str, path_b: str):
             strings = _written_groups(known.names, a, b, groups_a, groups_b)
             first = np.searchsorted(i, a.first)  # a text's last tokens are linked, so its groups and links are those of its tokens
             pairs = (a.ids[i] * len(known.bytes_b) + b.ids[j]).astype(np.uint64)
-            shared = texts.sums(np.diff(groups_a.indptr) * np.diff(groups_b.indptr), first)
+            shared = np.zeros(len(rows), np.int64)
+            for of_a, _, _ in shared_groups(groups_a, groups_b):
+                shared += np.bincount(np.searchsorted(a.first, of_a, "right") - 1, minlength=len(rows))
             digests, packed = [], []
             both = a.first + b.first
             for k in range(len(rows)):

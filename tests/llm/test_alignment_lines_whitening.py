@@ -6,6 +6,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -239,6 +240,31 @@ def test_overlap_and_shared_group_links(spark):
     same(alignment.shared_group_links(frame).collect(), shared)
 
 
+def test_groups_and_their_pairs_are_products(monkeypatch):
+    """The query's own groups come from the bytes they share with tokens, and its pairs from the product of both sides' groups."""
+    products, multiply = [], alignment.row_products
+
+    def recorded(x, y):
+        out = list(multiply(x, y))
+        products.append((x, y, out))
+        return iter(out)
+
+    def dense(m):
+        return np.array([np.bincount(m.indices[m.indptr[i] : m.indptr[i + 1]], minlength=m.width) for i in range(len(m))])
+
+    monkeypatch.setattr(alignment, "row_products", recorded)
+    written = ["it's  2 spaces", None, "日本語 ñandú straße", "the the"]
+    (out,) = alignment._aligner(default_vocabulary(), default_pieces())(iter([pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": written})]))
+    docs, expected = brute_alignment(list(enumerate(written)))
+    assert out["n_shared"].to_pylist() == [e[-1] for e in expected]
+    _, of_a, of_b, shared = products
+    sizes = [p[-1][2] - p[0][1] for d in docs for p, _ in d[3]]
+    assert np.diff(of_a[0].indptr).tolist() == np.diff(of_b[0].indptr).tolist() == sizes
+    for (group_bytes, byte_tokens, _), got in ((of_a, dense(shared[0]).T), (of_b, dense(shared[1]))):
+        assert (got == (dense(group_bytes) @ dense(byte_tokens) > 0)).all()
+    assert sum(len(i) for i, *_ in shared[2]) == sum(e[-1] for e in expected)
+
+
 def test_products_of_rows():
     rng = np.random.default_rng(4)
     a, b = rng.random((40, 30)) < 0.2, rng.random((30, 50)) < 0.2
