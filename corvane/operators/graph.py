@@ -30,14 +30,15 @@ def corpus_arcs(corpus: DataFrame) -> DataFrame:
     return corpus.select(F.col("title").alias("src"), F.explode(link_targets(F.col("text"))).alias("dst"))
 
 
-def link_counts(arcs: DataFrame, unique: bool = False) -> DataFrame:
+def link_counts(arcs: DataFrame, unique: bool = False, *by: str) -> DataFrame:
     """``(src, dst, copies)``: each different arc once, copies combined before the shuffle.
 
-    Arcs that lack an end are no arcs. With ``unique`` repeated arcs count as one.
+    Arcs that lack an end are no arcs. With ``unique`` repeated arcs count as one. Columns ``by`` that follow from the ends
+    are kept, and arcs that lie by them are counted where they are.
     """
     copies = F.lit(1).cast("bigint") if unique else F.count("*")
     whole = arcs.where("src is not null and dst is not null")
-    return whole.groupBy("src", "dst").agg(copies.alias("copies"))
+    return whole.groupBy(*by, "src", "dst").agg(copies.alias("copies"))
 
 
 def reverse(links: DataFrame) -> DataFrame:

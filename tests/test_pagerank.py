@@ -112,6 +112,29 @@ def test_only_contributions_move_in_an_iteration(spark, tmp_path):
     assert not spark.catalog.listTables()
 
 
+def test_arcs_in_slices_give_the_same_ranks_and_fewer_contributions(spark, tmp_path, monkeypatch):
+    """Buckets stay few where there are many arcs; slices of them by receiver are joined apart and no arc is shuffled or sorted again."""
+    assert rank_run.grid(12, 450_000_000) == (15, 15) and rank_run.grid(8, 0) == (8, 1) and rank_run.grid(1000, 450_000_000) == (1000, 1)
+    random.seed(5)
+    arcs = [("hub", f"n{i}") for i in range(60)] + [(f"n{random.randrange(40)}", f"n{random.randrange(60)}") for _ in range(400)]
+    arcs += arcs[100:120]
+    monkeypatch.setattr(rank_run, "LINKS_PER_CELL", 10)
+    for name, found in (("many", arcs), ("one", [(f"n{i}", "sink") for i in range(300)])):
+        folder = str(tmp_path / name)
+        got = P.pagerank(arcs_of(spark, found), nodes_of(spark, ["alone"]), iterations=3, run=folder)
+        assert rounded(got) == brute_force(found, ["alone"], 3)
+        (told,) = {(r.buckets, r.slices) for r in rank_run.progress(spark, folder).collect()}
+        assert told[1] > 1
+        assert rounded(P.pagerank(arcs_of(spark, []), iterations=4, run=folder)) == brute_force(found, ["alone"], 4)
+    own, tables = rank_run.loop_session(spark, told[0]), rank_run._Tables(told[0])
+    links = rank_run._stored_links(own, tables, str(tmp_path / "many"), 2)
+    state = own.table(tables.stored(own, str(tmp_path / "many" / "state-1"), rank_run.STATE_COLUMNS, "id"))
+    plan = rank_run.next_state(links, state, None, None, 0.0, 0.85, 0.15)._jdf.queryExecution().executedPlan().toString()
+    tables.forget(own)
+    assert len(links) > 1 and plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+    assert not spark.catalog.listTables()
+
+
 @pytest.mark.parametrize("hot", [{}, SOME_KEYS_HOT])
 def test_a_run_goes_on_from_its_last_state(spark, tmp_path, hot):
     random.seed(4)
