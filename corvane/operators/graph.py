@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.links import link_targets
 from corvane.operators.lookup import attach
-from corvane.session import prepare_checkpoints
+from corvane.session import laid_out, prepare_checkpoints
 
 # Entries in one stored list. A longer list becomes several rows of the same node.
 MAX_LIST = 10_000
@@ -129,7 +129,7 @@ def _lists(links: DataFrame, own: str, other: str, name: str, max_list: int, hub
     """The ``other`` ends per ``own`` end in sorted order, cut into runs of ``max_list``.
 
     The parts of a node one after the other are its whole sorted list, and only the last may be shorter. After
-    ``links`` is checkpointed, links of all but the few ``hubs`` move once, to the task of their node, where they are
+    ``links`` is laid down, links of all but the few ``hubs`` move once, to the task of their node, where they are
     sorted, placed and collected; links of hubs, which no one task could hold, go by ranges instead.
     """
     rows = links.selectExpr(f"{own} as id", f"{other} as entry", "copies")
@@ -144,8 +144,8 @@ def _lists(links: DataFrame, own: str, other: str, name: str, max_list: int, hub
 
 def _laid_down(links: DataFrame) -> DataFrame:
     """The links computed once, for the sketch and the lists alike."""
-    prepare_checkpoints(links.sparkSession)
-    return links.checkpoint()
+    prepare_checkpoints(links.sparkSession)  # for the slices of hubs
+    return laid_out(links, "links", "src")
 
 
 def adjacency(links: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
@@ -180,15 +180,54 @@ def both_lists(links: DataFrame, nodes: DataFrame | None = None, max_list: int =
     """``(id, part, out_degree, in_degree, neighbors, linked_from)`` for every node.
 
     A list is null in rows beyond its last part; a degree of 0 tells that there is none at all.
-    A node without any arc has one row.
+    A node without any arc has one row. Both ends of a link move once, to the tasks of their nodes, and there become degrees and
+    lists; nodes that are a hub one way or the other have their lists made apart and joined part by part.
     """
     links = _laid_down(links)
-    every = degrees(links, nodes)
-    outgoing, incoming = _lists(links, "src", "dst", "neighbors", max_list), _lists(links, "dst", "src", "linked_from", max_list)
-    listed = outgoing.join(incoming, ["id", "part"], "full_outer")
-    linked = listed.join(every, "id").select("id", "part", "out_degree", "in_degree", "neighbors", "linked_from")
-    no_list = "cast(null as array<string>)"
-    alone = every.where("out_degree = 0 and in_degree = 0").selectExpr(
-        "id", "0 as part", "out_degree", "in_degree", f"{no_list} as neighbors", f"{no_list} as linked_from"
+    out_hubs, in_hubs = (_hubs(links.select(F.col(own).alias("id")), "id") for own in ("src", "dst"))
+    ends = links.selectExpr("stack(2, src, dst, copies, true, dst, src, copies, false) as (id, entry, copies, out)")
+    if nodes is not None:
+        listed = nodes.where("id is not null").selectExpr("id", "cast(null as string) as entry", "0L as copies", "true as out")
+        ends = ends.unionByName(listed)
+    if out_hubs.isEmpty() and in_hubs.isEmpty():
+        return _both_in_place(ends, max_list)
+    hubs = F.broadcast(out_hubs.union(in_hubs).distinct())  # no more than 2 * HUBS rows
+    return _both_in_place(ends.join(hubs, "id", "left_anti"), max_list).unionByName(_both_of_hubs(links, hubs, out_hubs, in_hubs, max_list))
+
+
+def _both_in_place(ends: DataFrame, max_list: int) -> DataFrame:
+    """Degrees and lists from ``(id, entry, copies, out)``, both ways in one exchange; a null entry only names the node."""
+    before = Window.partitionBy("id", "out").orderBy("entry").rowsBetween(Window.unboundedPreceding, -1)
+    both = Window.partitionBy("id")
+    placed = (
+        ends.repartition("id")
+        .withColumn("first", F.coalesce(F.sum("copies").over(before), F.lit(0)))
+        .withColumn("out_degree", F.sum(F.expr("if(out, copies, 0L)")).over(both))
+        .withColumn("in_degree", F.sum(F.expr("if(out, 0L, copies)")).over(both))
+    )
+    parts = f"""case when entry is not null then sequence(first div {max_list}, (first + copies - 1) div {max_list})
+        when out_degree + in_degree = 0 then array(0L) end"""
+    dealt = placed.selectExpr("*", f"explode({parts}) as part").selectExpr(
+        "id", "cast(part as int) as part", "out_degree", "in_degree", "out",
+        f"""if(entry is null, null, array_repeat(entry, cast(least(first + copies, (part + 1) * {max_list})
+            - greatest(first, part * {max_list}) as int))) as entries""",
+    )
+    grouped = dealt.groupBy("id", "part", "out_degree", "in_degree").agg(
+        F.expr("collect_list(entries) filter (where out) as neighbors"), F.expr("collect_list(entries) filter (where not out) as linked_from")
     )
-    return linked.unionByName(alone)
+    whole = "if(size({0}) = 0, null, sort_array(flatten({0}))) as {0}"
+    return grouped.selectExpr("id", "part", "out_degree", "in_degree", whole.format("neighbors"), whole.format("linked_from"))
+
+
+def _both_of_hubs(links: DataFrame, hubs: DataFrame, out_hubs: DataFrame, in_hubs: DataFrame, max_list: int) -> DataFrame:
+    """The rows of ``hubs``: lists that may be too long for one task meet by node and part, the few degrees are broadcast."""
+    out_links = links.join(hubs.withColumnRenamed("id", "src"), "src", "left_semi").select(links.columns)
+    in_links = links.join(hubs.withColumnRenamed("id", "dst"), "dst", "left_semi").select(links.columns)
+    counted = out_links.selectExpr("src as id", "copies as out_degree", "0L as in_degree").unionByName(
+        in_links.selectExpr("dst as id", "0L as out_degree", "copies as in_degree")
+    )
+    sizes = counted.groupBy("id").agg(F.sum("out_degree").alias("out_degree"), F.sum("in_degree").alias("in_degree"))
+    outgoing = _lists(out_links, "src", "dst", "neighbors", max_list, out_hubs)
+    incoming = _lists(in_links, "dst", "src", "linked_from", max_list, in_hubs)
+    listed = outgoing.join(incoming, ["id", "part"], "full_outer")
+    return listed.join(F.broadcast(sizes), "id").select("id", "part", "out_degree", "in_degree", "neighbors", "linked_from")

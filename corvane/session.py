@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSession:
@@ -67,6 +67,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def laid_out(frame: DataFrame, name: str, *order: str) -> DataFrame:
+    """The frame computed once and written below the shared folder, compressed, each partition in ``order``: equal values lie together."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.sortWithinPartitions(*order).write.option("compression", "zstd").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
     """Partitions for this many rows: work for all cores, and none larger than asked for."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))

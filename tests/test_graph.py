@@ -134,3 +134,31 @@ def test_links_move_once_for_lists(spark):
     links = G._laid_down(G.link_counts(spark.createDataFrame(arcs, "src string, dst string")))
     plan = G._lists(links, "src", "dst", "neighbors", 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan
+
+
+def test_both_lists_move_links_once(spark):
+    """One exchange for degrees and lists of both directions, and none of finished lists."""
+    arcs = [(f"n{i % 30}", f"n{i}") for i in range(300)]
+    nodes = spark.createDataFrame([("alone",), ("alone",), ("n1",)], "id string")
+    found = G.both_lists(G.link_counts(spark.createDataFrame(arcs, "src string, dst string")), nodes, 4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert rows(found)[0] == ("alone", 0, 0, 0, None, None)
+
+
+def test_both_lists_of_hubs_and_of_others(spark, monkeypatch):
+    """Hubs one way, the other or both, with parts on one side only."""
+    arcs = [("hub", f"n{i % 90:02}") for i in range(300)] + [(f"n{i:02}", "goal") for i in range(90)] + [("goal", "hub"), ("n07", "n07"), ("n07", "n07")]
+    arcs += [(f"n{i % 17:02}", f"n{(i * 7) % 50:02}") for i in range(200)]
+    links = G.link_counts(spark.createDataFrame(arcs, "src string, dst string"))
+    nodes = spark.createDataFrame([("alone",), ("hub",), (None,)], "id string")
+    expected = {}
+    for node in {x for a in arcs for x in a} | {"alone"}:
+        out, into = sorted(d for s, d in arcs if s == node), sorted(s for s, d in arcs if d == node)
+        for p in range(max(1, -(-len(out) // 20), -(-len(into) // 20))):
+            expected[node, p] = (len(out), len(into), out[20 * p : 20 * p + 20] or None, into[20 * p : 20 * p + 20] or None)
+    whole = sorted(((*k, *v) for k, v in expected.items()), key=repr)
+    assert rows(G.both_lists(links, nodes, 20)) == whole
+    named = iter([["hub", "n07"], ["goal", "n07"]] * 2)
+    monkeypatch.setattr(G, "_hubs", lambda r, own: r.sparkSession.createDataFrame([(x,) for x in next(named)], "id string"))
+    assert rows(G.both_lists(links, nodes, 20)) == whole
