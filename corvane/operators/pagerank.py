@@ -17,14 +17,13 @@ from corvane.operators import rank_run
 from corvane.operators.graph import HUBS
 from corvane.operators.lookup import MIN_HOT_ROWS, attach
 from corvane.operators.rank_run import MASS, received, sent, shares, initial_state
-from corvane.session import prepare_checkpoints, scratch_path
+from corvane.session import laid_out, scratch_path
 
 
 def laid_down(links: DataFrame, nodes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """The links and the nodes' first state, each computed once and checkpointed for a plan that reads them often."""
-    prepare_checkpoints(links.sparkSession)
-    links = links.checkpoint()
-    return links, initial_state(links, nodes).checkpoint()
+    """The links and the nodes' first state, each computed once and written for a plan that reads them often."""
+    links = laid_out(links, "links", "src")
+    return links, laid_out(initial_state(links, nodes), "state", "id")
 
 
 def initial_ranks(links: DataFrame, nodes: DataFrame | None = None) -> DataFrame:

@@ -135,6 +135,15 @@ def test_arcs_in_slices_give_the_same_ranks_and_fewer_contributions(spark, tmp_p
     assert not spark.catalog.listTables()
 
 
+def test_links_of_a_step_are_written_compressed_and_in_order(spark):
+    arcs = [(f"n{i * 7 % 40:02}", f"n{i % 11:02}") for i in range(300)]
+    links, state = P.laid_down(links_of(spark, arcs), nodes_of(spark, ["alone"]))
+    assert all(".zstd." in name for frame in (links, state) for name in frame.inputFiles()) and links.inputFiles()
+    for part in links.select("src").rdd.glom().collect():
+        assert list(part) == sorted(part)
+    assert links.agg(F.sum("copies")).first()[0] == 300 and state.count() == 41
+
+
 @pytest.mark.parametrize("hot", [{}, SOME_KEYS_HOT])
 def test_a_run_goes_on_from_its_last_state(spark, tmp_path, hot):
     random.seed(4)
