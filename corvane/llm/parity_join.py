@@ -47,7 +47,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm import texts
@@ -70,6 +70,11 @@ SAMPLE_SHARE = 64
 HOT_SEGMENTS = 100_000
 # Classes of one segment that are compared all at once, not one against the others.
 SMALL_GROUP = 8
+# Bits of the filter by which the texts to read again are picked: so many for an id, and at most in all.
+FILTER_BITS_PER_ID = 32
+FILTER_BITS = 1 << 26
+# Bits of one of the bitmaps that Spark's functions make.
+BITMAP_BITS = 1 << 15
 # Shingles of classes that are held against others in one task, and 64-bit words of the sketches used there.
 CELL_SHINGLES = 2_000_000
 LONG_SKETCH_WORDS = 32
@@ -578,9 +583,17 @@ def _crosser(percent: int):
     return cross
 
 
-def _set_maker(size: int):
+def _set_maker(size: int, wanted: np.ndarray):
+    """Sets of the texts whose ``spot`` is a bit of ``wanted`` or null."""
+
+    def picked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spot = batch["spot"].fill_null(-1).to_numpy()
+            keep = (spot < 0) | (wanted[np.maximum(spot, 0) >> 3] >> (spot & 7) & 1).astype(bool)
+            yield batch.filter(pa.array(keep))
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, block in texts.blocks(batches, size=BLOCK_BYTES):
+        for _, block in texts.blocks(picked(batches), size=BLOCK_BYTES):
             grams, first = shingle_sets(block, size)
             sets = [texts.pack_sorted(grams[a:b]) for a, b in pairwise(first)]
             sketches = [x.tobytes() for x in _short_sketches(grams, first, LONG_SKETCH_WORDS)]
@@ -630,12 +643,31 @@ def _merged(known: DataFrame, similar: DataFrame) -> DataFrame:
     return known.join(above, "component", "left").select("class", F.coalesce("above", "component").alias("component"))
 
 
+def _id_filter(ids: DataFrame, count: int) -> tuple[np.ndarray, int]:
+    """A bitmap with a bit for each of about ``count`` ids ``(first_id)``, and how many bits it has: a power of 2, ``FILTER_BITS`` at most."""
+    bits = min(FILTER_BITS, max(BITMAP_BITS, 1 << (FILTER_BITS_PER_ID * count).bit_length()))
+    spots = ids.select(_spot("first_id", bits).alias("spot"))
+    maps = spots.groupBy(F.expr(f"spot div {BITMAP_BITS}").alias("at")).agg(F.bitmap_construct_agg(F.col("spot") % BITMAP_BITS).alias("bitmap"))
+    wanted = np.zeros((bits // BITMAP_BITS, BITMAP_BITS // 8), np.uint8)
+    for r in maps.collect():
+        wanted[r["at"]] = np.frombuffer(r["bitmap"], np.uint8)
+    return wanted.ravel(), bits
+
+
+def _spot(column: str, bits: int) -> Column:
+    """The bit of an id; null for none."""
+    return F.when(F.col(column).isNotNull(), F.pmod(F.xxhash64(column), F.lit(bits)))
+
+
 def _text_sets(rows: DataFrame, classes: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """``SETS`` of the classes ``needed (class)``, from one text of each: that of its smallest id in ``classes (class, first_id)``."""
-    ids = classes.join(needed, "class").select("first_id").where("first_id is not null").distinct()
-    read = rows.join(ids, rows.doc_id == ids.first_id, "left_semi").select("text")
-    read = read.unionByName(rows.where("doc_id is null").select("text"))
-    made = read.mapInArrow(_set_maker(size), SETS)
+    """``SETS`` of the classes ``needed (class)``, from one text of each: that of its smallest id in ``classes (class, first_id)``.
+
+    Texts are picked where they are read, by a filter of their ids, and none moves. A text that passes by chance, or has no id, makes a set
+    that is dropped by its class if that is not needed.
+    """
+    ids = classes.join(needed, "class").select("first_id").where("first_id is not null")
+    wanted, bits = _id_filter(ids, needed.count())
+    made = rows.select(_spot("doc_id", bits).alias("spot"), "text").mapInArrow(_set_maker(size, wanted), SETS)
     firsts = [F.first(c).alias(c) for c in ("n", "sketch", "grams")]
     return made.join(needed, "class", "left_semi").groupBy("class").agg(*firsts)
 

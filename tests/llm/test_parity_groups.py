@@ -77,6 +77,27 @@ def test_pairs_that_fail_do_not_part_a_group(spark, cell_shingles):
     assert {i: min(group) for group in got.values() for i in group} == {i: expected[i] for i in of_doc}
 
 
+def test_texts_do_not_move_for_their_sets(spark, changed, tmp_path):
+    """Sets of a few classes are made where their texts are read, also where no join is broadcast; rows without id and repeated rows as well."""
+    changed("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(k if k % 9 else None, f"word{k // 2} is one of these words and {k // 2} more") for k in range(2000)] + [(7, "again the same id")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    signed = docs.mapInArrow(parity_join._signer(4, 85, 64), parity_join.SIGNED).cache()
+    classes = signed.groupBy("class").agg(F.min("doc_id").alias("first_id"))
+    needed = classes.where("class % 20 = 0").select("class")
+    sets = parity_join._text_sets(docs, classes, needed, 4)
+    assert {r["class"] for r in sets.collect()} == {r["class"] for r in needed.collect()}
+    expected = {r["class"]: r.n_shingles for r in signed.collect()}
+    assert all(r.n == expected[r["class"]] for r in sets.collect())
+    plan = sets._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    at = next(k for k, line in enumerate(plan) if "MapInArrow" in line)
+    depths = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in plan]
+    below = plan[at + 1 : next((k for k in range(at + 1, len(plan)) if depths[k] <= depths[at]), len(plan))]
+    assert any("FileScan" in line for line in below) and not any("Exchange" in line for line in below)
+    signed.unpersist()
+
+
 def test_a_forest_connects_what_may_be_similar():
     rng = np.random.default_rng(3)
     for groups in (3, 40):
