@@ -6,13 +6,22 @@ document's key: rows of equal title are one document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.functions.scoring import inverse_document_frequency
 from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
 
+# Bytes of cleaned text whose words are counted together.
+BLOCK_BYTES = 4 << 20
+LISTS = "title string, words string, tfs array<int>"
+
 
 def titles(corpus: DataFrame) -> DataFrame:
     return corpus.select("title")
@@ -38,23 +47,64 @@ def document_frequency(corpus: DataFrame) -> DataFrame:
     return tokens(corpus).distinct().groupBy("word").agg(F.count("*").alias("df"))
 
 
+def _block_lists(titles: pa.Array, cleaned: pa.Array) -> pa.RecordBatch:
+    """``LISTS``: a row for each title, its different words one after the other and how often each occurs; an empty word first, none times."""
+    titles = titles.dictionary_encode(null_encoding="encode")
+    owner = titles.indices.to_numpy()
+    lists = pc.split_pattern(cleaned, " ")
+    words = lists.flatten().dictionary_encode()
+    known = pa.concat_arrays([pa.array([""]), words.dictionary])
+    place_of = np.arange(1, len(known))
+    place_of[pc.equal(words.dictionary, "").to_numpy(zero_copy_only=False)] = 0
+    tokens = np.repeat(owner, pc.list_value_length(lists).to_numpy()) * np.int64(len(known)) + place_of[words.indices.to_numpy()]
+    count = len(titles.dictionary)
+    found, tfs = np.unique(np.concatenate([np.arange(count) * len(known), tokens]), return_counts=True)
+    place = found % len(known)
+    tfs[place == 0] = 0
+    first = pa.array(np.searchsorted(found // len(known), np.arange(count + 1)), pa.int32())
+    joined = pc.binary_join(pa.ListArray.from_arrays(first, known.take(pa.array(place))), " ")
+    counts = pa.ListArray.from_arrays(first, pa.array(tfs, pa.int32()))
+    return pa.RecordBatch.from_arrays([titles.dictionary, joined, counts], ["title", "words", "tfs"])
+
+
+def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = max(1, len(batch) * BLOCK_BYTES // max(1, batch["text"].nbytes))
+        for begin in range(0, len(batch), rows):
+            block = batch.slice(begin, rows)
+            yield _block_lists(block["title"], block["text"])
+
+
+def _pairs(lists: DataFrame) -> DataFrame:
+    placed = lists.select("title", "tfs", F.posexplode(F.split("words", " ")).alias("place", "word"))
+    return placed.select("word", "title", F.col("tfs")[F.col("place")].cast("bigint").alias("tf"))
+
+
+def _marked_counts(corpus: DataFrame) -> DataFrame:
+    """``(word, title, tf)`` of every word of every document, and of the empty word, which each document has zero times.
+
+    Words are counted where the text is read and move by document, as one list of a document's words, so nothing is sorted or hashed by
+    word and document together. Only a document that comes from several blocks has its lists added up, dealt out by its words.
+    """
+    cleaned = corpus.select("title", T.clean(F.col("text")).alias("text")).where("text is not null")
+    lists = cleaned.mapInArrow(_word_lists, LISTS)
+    lists = lists.withColumn("pieces", F.count("*").over(Window.partitionBy("title")))
+    several = _pairs(lists.where("pieces > 1")).repartition("word", "title")
+    return _pairs(lists.where("pieces = 1")).unionByName(several.groupBy("word", "title").agg(F.sum("tf").alias("tf")))
+
+
 def tfidf(corpus: DataFrame, max_hot: int = MAX_HOT, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """``(word, title, tf, df, idf, tfidf)`` for every word of every document.
 
-    The corpus is read, cleaned and shuffled once. For that, every document gets
+    The corpus is read, cleaned, counted and shuffled once. For that, every document gets
     the empty word on top of its own words, counted as zero occurrences: its
     document count is then the corpus size, and the largest of all. The per-word
     counts, the corpus size and the scored rows all read the same shuffled
-    word counts. No filter may touch ``word`` before the scores exist, or Spark
+    lists of words. No filter may touch ``word`` before the scores exist, or Spark
     would push it below the shuffle for one reader only and split the plan; the
     empty word is dropped by its ``tf`` of zero.
     """
-    marked = F.concat(F.array(F.lit("")), T.words(F.col("text")))
-    counts = (
-        corpus.select("title", F.explode(marked).alias("word"))
-        .groupBy("word", "title")
-        .agg(F.count_if(F.col("word") != "").alias("tf"))
-    )
+    counts = _marked_counts(corpus)
     # Counting the tf column, not rows, keeps it in this reader's plan as well.
     by_word = counts.groupBy("word").agg(F.count_if(F.col("tf") >= 0).alias("df"))
     n = by_word.agg(F.max("df")).scalar()

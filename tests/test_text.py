@@ -172,3 +172,21 @@ def test_the_corpus_is_read_and_shuffled_once(spark, tmp_path, kind):
     final = execution.executedPlan().toString()
     executed = re.sub(r"== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", final, flags=re.S)
     assert executed.count("FileScan") == 1
+
+
+def test_words_move_by_document(spark):
+    """Words are counted where the text is read and move as lists; documents of several rows, in several tasks, are added up."""
+    rng = random.Random(4)
+    texts = [(f"t{rng.randrange(60)}", " ".join(rng.choice("abcdefgh") * rng.randrange(1, 3) for _ in range(rng.randrange(30)))) for _ in range(150)]
+    texts += [("empty", ""), ("empty", "12 -"), ("once", "a a <b> É é")]
+    corpus = spark.createDataFrame(texts, "title string, text string").repartition(7)
+    counts, held = {}, Counter()
+    for title, text in texts:
+        counts.setdefault(title, Counter()).update(re.sub(r"<b>|[^a-zé]", " ", text.lower()).split())
+    for found in counts.values():
+        held.update(found.keys())
+    expected = [(w, t, n, held[w], math.log(len(counts) / held[w])) for t, found in counts.items() for w, n in found.items()]
+    scored = terms.tfidf(corpus)
+    assert [x[:4] for x in rows(scored, "word", "title", "tf", "df", "idf")] == [x[:4] for x in sorted(expected, key=repr)]
+    assert {(w, round(i, 9)) for w, i in rows(scored, "word", "idf")} == {(w, round(i, 9)) for w, _, _, _, i in expected}
+    assert "Exchange hashpartitioning(title" in scored._jdf.queryExecution().executedPlan().toString()
