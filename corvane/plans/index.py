@@ -26,11 +26,12 @@ def _bucket(text, buckets):
 def write_index(corpus: DataFrame, folder: str, buckets: int = BUCKETS) -> int:
     """Publish ``(word, title, tf, df, idf, tfidf)`` by buckets of words, each sorted by word and title; the number of rows.
 
-    Rows are dealt out by ranges of their order, so a bucket with a very frequent word has several files.
+    Rows are dealt out by bucket, and Spark, which sees how large the buckets have become, cuts those with very frequent words into several
+    files. Ranges of the order would do it as well, but need a sample, for which all scores are computed once more.
     """
     order = ["bucket", "word", "title"]
     scored = terms.tfidf(corpus).withColumn("buckets", F.lit(buckets)).withColumn("bucket", _bucket("word", F.lit(buckets)))
-    return publish(scored.repartitionByRange(*order).sortWithinPartitions(*order), folder, "buckets", "bucket")
+    return publish(scored.hint("rebalance", F.col("bucket")).sortWithinPartitions(*order), folder, "buckets", "bucket")
 
 
 def find(spark: SparkSession, folder: str, term: str) -> DataFrame:

@@ -37,6 +37,37 @@ def test_a_word_is_read_from_its_own_files(spark, tmp_path):
     assert leaf_metric(found, "numFiles") < files / 4
 
 
+def test_scores_are_computed_once(spark, tmp_path):
+    """No row of the scores is made for a sample before those that are written."""
+    made = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    scored = terms.tfidf
+
+    def counted(corpus):
+        found = scored(corpus)
+        return found.mapInArrow(tell, found.schema)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(terms, "tfidf", counted)
+        written = index.write_index(corpus_of(spark, TEXTS), str(tmp_path / "index"), buckets=16)
+    assert made.value == written > 0
+
+
+def test_a_large_bucket_has_several_files(spark, changed, tmp_path):
+    changed("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    changed("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    index.write_index(corpus_of(spark, TEXTS), str(tmp_path / "index"), buckets=1)
+    stored = read_published(spark, str(tmp_path / "index"))
+    assert len(stored.inputFiles()) > 1
+    of_file = stored.withColumn("file", F.input_file_name()).select("file", "word", "title").collect()
+    for file in {r.file for r in of_file}:
+        held = [(r.word, r.title) for r in of_file if r.file == file]
+        assert held == sorted(held)
 
 
 @pytest.mark.parametrize("k", [1, 3, 500])
