@@ -7,11 +7,12 @@ document's key: rows of equal title are one document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
@@ -19,8 +20,8 @@ from corvane.functions.scoring import inverse_document_frequency
 from corvane.operators.lookup import MAX_HOT, MIN_HOT_ROWS, attach
 
 # Bytes of cleaned text whose words are counted together.
-BLOCK_BYTES = 4 << 20
-LISTS = "title string, words string, tfs array<int>"
+BLOCK_BYTES = 16 << 20
+LISTS = "word string, titles string, tfs array<int>"
 
 
 def titles(corpus: DataFrame) -> DataFrame:
@@ -47,73 +48,102 @@ def document_frequency(corpus: DataFrame) -> DataFrame:
     return tokens(corpus).distinct().groupBy("word").agg(F.count("*").alias("df"))
 
 
-def _block_lists(titles: pa.Array, cleaned: pa.Array) -> pa.RecordBatch:
-    """``LISTS``: a row for each title, its different words one after the other and how often each occurs; an empty word first, none times."""
-    titles = titles.dictionary_encode(null_encoding="encode")
-    owner = titles.indices.to_numpy()
+class _Open(NamedTuple):
+    """The counts so far of a document whose next rows may follow: its title, as an array of one, its words and how often each occurs."""
+
+    title: pa.Array
+    words: pa.Array
+    tfs: np.ndarray
+
+
+def _block_lists(titles: pa.Array, cleaned: pa.Array, before: _Open | None) -> tuple[pa.RecordBatch, _Open]:
+    """``LISTS`` of a block of rows in order of their titles, but for its last document, which is given back open.
+
+    A row for each word: the titles that hold it, one a line, those with most occurrences first. The empty word is held by all, none times.
+    """
     lists = pc.split_pattern(cleaned, " ")
-    words = lists.flatten().dictionary_encode()
-    known = pa.concat_arrays([pa.array([""]), words.dictionary])
-    place_of = np.arange(1, len(known))
-    place_of[pc.equal(words.dictionary, "").to_numpy(zero_copy_only=False)] = 0
-    tokens = np.repeat(owner, pc.list_value_length(lists).to_numpy()) * np.int64(len(known)) + place_of[words.indices.to_numpy()]
-    count = len(titles.dictionary)
-    found, tfs = np.unique(np.concatenate([np.arange(count) * len(known), tokens]), return_counts=True)
-    place = found % len(known)
+    known = before or _Open(titles.slice(0, 0), lists.values.slice(0, 0), np.empty(0, np.int64))
+    documents = pa.concat_arrays([known.title, titles]).dictionary_encode(null_encoding="encode")
+    count = len(documents.dictionary)
+    owner = documents.indices.to_numpy().astype(np.int64)
+    words = pa.concat_arrays([pa.array([""], cleaned.type), known.words, lists.flatten()]).dictionary_encode()
+    keys = words.indices.to_numpy()[1:] * np.int64(count)
+    counted, tokens = keys[: len(known.words)], keys[len(known.words) :]  # those of the open document, the first, are different
+    tokens += np.repeat(owner[len(known.title) :], pc.list_value_length(lists).to_numpy())
+    found, tfs = np.unique(np.concatenate([np.arange(count), counted, tokens]), return_counts=True)
+    tfs[np.searchsorted(found, counted)] += known.tfs - 1
+    place, document = np.divmod(found, count)
     tfs[place == 0] = 0
-    first = pa.array(np.searchsorted(found // len(known), np.arange(count + 1)), pa.int32())
-    joined = pc.binary_join(pa.ListArray.from_arrays(first, known.take(pa.array(place))), " ")
-    counts = pa.ListArray.from_arrays(first, pa.array(tfs, pa.int32()))
-    return pa.RecordBatch.from_arrays([titles.dictionary, joined, counts], ["title", "words", "tfs"])
+
+    last = document == owner[-1]
+    after = _Open(documents.dictionary.slice(owner[-1], 1), words.dictionary.take(pa.array(place[last])), tfs[last])
+    place, document, tfs = place[~last], document[~last], tfs[~last]
+    most = tfs.max(initial=0)
+    order = np.argsort(place * (most + 1) + (most - tfs), kind="stable")
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    bounds = pa.array(np.append(first, len(place)), pa.int32())
+    held_by = pc.binary_join(pa.ListArray.from_arrays(bounds, documents.dictionary.take(pa.array(document[order]))), "\n")
+    counts = pa.ListArray.from_arrays(bounds, pa.array(tfs[order], pa.int32()))
+    return pa.RecordBatch.from_arrays([words.dictionary.take(pa.array(place[first])), held_by, counts], ["word", "titles", "tfs"]), after
 
 
 def _word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    document = None
     for batch in batches:
-        rows = max(1, len(batch) * BLOCK_BYTES // max(1, batch["text"].nbytes))
+        blocks = 1 + batch["text"].nbytes // BLOCK_BYTES
+        rows = max(1, -(-len(batch) // blocks))
         for begin in range(0, len(batch), rows):
             block = batch.slice(begin, rows)
-            yield _block_lists(block["title"], block["text"])
+            lists, document = _block_lists(block["title"], block["text"], document)
+            yield lists
+    if document:
+        held_by = document.title.take(pa.array(np.zeros(len(document.words), np.int64)))
+        counts = pa.ListArray.from_arrays(pa.array(np.arange(len(document.words) + 1), pa.int32()), pa.array(document.tfs, pa.int32()))
+        yield pa.RecordBatch.from_arrays([document.words, held_by, counts], ["word", "titles", "tfs"])
+
+
+def _one_line(title: Column) -> Column:
+    """The title without line ends, and never null; ``_title`` gives it back."""
+    return F.coalesce(F.replace(F.replace(title, F.lit("%"), F.lit("%25")), F.lit("\n"), F.lit("%0A")), F.lit("%"))
 
 
-def _pairs(lists: DataFrame) -> DataFrame:
-    placed = lists.select("title", "tfs", F.posexplode(F.split("words", " ")).alias("place", "word"))
-    return placed.select("word", "title", F.col("tfs")[F.col("place")].cast("bigint").alias("tf"))
+def _title(line: Column) -> Column:
+    changed = F.replace(F.replace(line, F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
+    return F.when(~F.contains(line, F.lit("%")), line).when(line != "%", changed)
 
 
-def _marked_counts(corpus: DataFrame) -> DataFrame:
-    """``(word, title, tf)`` of every word of every document, and of the empty word, which each document has zero times.
+def _marked_lists(corpus: DataFrame) -> DataFrame:
+    """``LISTS`` of every word of every document, and of the empty word, which each document has zero times.
 
-    Words are counted where the text is read and move by document, as one list of a document's words, so nothing is sorted or hashed by
-    word and document together. Only a document that comes from several blocks has its lists added up, dealt out by its words.
+    Texts are dealt out by title, so that the rows of a document follow one another, and their words are counted by blocks. From
+    then on the documents of a block that hold a word move as one list. Lists are dealt out by more than their word, so those of a frequent word
+    do not meet in one task. What Spark infers from a join and from taking lists apart holds for all of them; said here, it leaves
+    all readers with the same plan below the shuffle.
     """
-    cleaned = corpus.select("title", T.clean(F.col("text")).alias("text")).where("text is not null")
-    lists = cleaned.mapInArrow(_word_lists, LISTS)
-    lists = lists.withColumn("pieces", F.count("*").over(Window.partitionBy("title")))
-    several = _pairs(lists.where("pieces > 1")).repartition("word", "title")
-    return _pairs(lists.where("pieces = 1")).unionByName(several.groupBy("word", "title").agg(F.sum("tf").alias("tf")))
+    cleaned = corpus.select(_one_line(F.col("title")).alias("title"), T.clean(F.col("text")).alias("text")).where("text is not null")
+    lists = cleaned.repartition("title").sortWithinPartitions("title").mapInArrow(_word_lists, LISTS)
+    return lists.where("word is not null and titles is not null and tfs is not null").repartition("word", "titles")
 
 
 def tfidf(corpus: DataFrame, max_hot: int = MAX_HOT, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """``(word, title, tf, df, idf, tfidf)`` for every word of every document.
 
-    The corpus is read, cleaned, counted and shuffled once. For that, every document gets
+    The corpus is read, cleaned and counted once. For that, every document gets
     the empty word on top of its own words, counted as zero occurrences: its
     document count is then the corpus size, and the largest of all. The per-word
     counts, the corpus size and the scored rows all read the same shuffled
-    lists of words. No filter may touch ``word`` before the scores exist, or Spark
-    would push it below the shuffle for one reader only and split the plan; the
+    lists, and meet as lists: only then is there a row for each word of each document. No filter may touch a list
+    before the scores exist, or Spark would push it below the shuffle for one reader only and split the plan; the
     empty word is dropped by its ``tf`` of zero.
     """
-    counts = _marked_counts(corpus)
-    # Counting the tf column, not rows, keeps it in this reader's plan as well.
-    by_word = counts.groupBy("word").agg(F.count_if(F.col("tf") >= 0).alias("df"))
+    lists = _marked_lists(corpus)
+    by_word = lists.groupBy("word").agg(F.sum(F.size("tfs")).alias("df"))
     n = by_word.agg(F.max("df")).scalar()
     idf = inverse_document_frequency(n, F.col("df"))
-    return (
-        attach(counts, by_word, "word", "df", max_hot, min_hot_rows)
-        .where("tf > 0")
-        .select("word", "title", "tf", "df", idf.alias("idf"), (F.col("tf") * idf).alias("tfidf"))
-    )
+    scored = attach(lists, by_word, "word", "df", max_hot, min_hot_rows).withColumn("idf", idf)
+    placed = scored.select("word", "tfs", "df", "idf", F.posexplode(F.split("titles", "\n")).alias("place", "line"))
+    counted = placed.withColumn("tf", F.col("tfs")[F.col("place")].cast("bigint")).where("tf > 0")
+    return counted.select("word", _title(F.col("line")).alias("title"), "tf", "df", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def tfidf_of_term(corpus: DataFrame, term: str) -> DataFrame:

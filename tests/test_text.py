@@ -190,3 +190,31 @@ def test_words_move_by_document(spark):
     assert [x[:4] for x in rows(scored, "word", "title", "tf", "df", "idf")] == [x[:4] for x in sorted(expected, key=repr)]
     assert {(w, round(i, 9)) for w, i in rows(scored, "word", "idf")} == {(w, round(i, 9)) for w, _, _, _, i in expected}
     assert "Exchange hashpartitioning(title" in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_scored_as_lists_of_titles(spark):
+    """A word's documents meet their document count as lists and are taken apart after it; lists of one word go to several tasks."""
+    corpus = spark.range(300).selectExpr("concat('t', id) as title", "concat('the w', chr(97 + id % 7)) as text")
+    scored = terms.tfidf(corpus, max_hot=10, min_hot_rows=5)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Generate" not in plan[plan.index("Join") :]
+    assert "Exchange hashpartitioning(word#" in plan and re.search(r"hashpartitioning\(word#\d+, titles#\d+", plan)
+    execution = scored._jdf.queryExecution()
+    assert execution.toRdd().count() == 600
+    final = re.sub(r"== Initial Plan ==.*?(?=== Final Plan ==|\Z)", "", execution.executedPlan().toString(), flags=re.S)
+    assert final.count("MapInArrow") == 1
+
+
+def test_documents_that_go_on_in_the_next_batch_and_odd_titles(spark, changed):
+    rng = random.Random(5)
+    names = ["a\nb", "a%0Ab", "a%250Ab", "%", "%25", "50%", "", "\n", "a", "b", "tab\t"]
+    texts = [(rng.choice(names), " ".join(rng.choices(["x", "y", "Z", "7", "<i>"], k=rng.randrange(6)))) for _ in range(120)] + [("a", "x " * 500)] * 9
+    corpus = spark.createDataFrame(texts, "title string, text string").repartition(5)
+    counts = {}
+    for title, text in texts:
+        counts.setdefault(title, Counter()).update(re.findall("[a-z]", text.replace("<i>", " ").lower()))
+    held = Counter(w for found in counts.values() for w in found)
+    expected = sorted(((w, t, n, held[w]) for t, found in counts.items() for w, n in found.items()), key=repr)
+    for size in ("1", "2", "7", "10000"):
+        changed("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        assert rows(terms.tfidf(corpus), "word", "title", "tf", "df") == expected, size
